@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import SPACE_RUN, SPACES, text_of, without
+from cellweave.session import cut
 
 SYMBOLS = "#*$%&|<>"
 #: Low bits of a packed window that hold its place; a Spark string has fewer words than that.
@@ -23,10 +24,6 @@ SKETCH_K = 1024
 LEAST_GROUP = 50
 
 
-def _clear(column: Column, letters: str) -> Column:
-    return F.translate(column, letters, "")
-
-
 def _twin(items: Column, key) -> Column:
     """Items of a sorted array whose key equals that of a neighbour."""
 
@@ -56,14 +53,18 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         *cols,
         F.when(F.length(trimmed) == 0, F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN, -1)).alias("__cw_w"),
         lines.alias("__cw_l"),
-        F.length(_clear(t, SPACES)).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(_clear(t, SYMBOLS))).cast("long").alias("n_symbols"),
+        F.regexp_count(t, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
     )
     w = F.col("__cw_w")
-    pack = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).bitwiseAND(F.lit(~_MASK)).bitwiseOR(i.cast("long"))
-    packed = F.when(F.size(w) >= 4, F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), pack)))
+    hashed = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+    places = F.sequence(F.lit(0), F.size(w) - 3)
+    out = out.withColumn("__cw_h", F.when(F.size(w) >= 4, F.transform(places, hashed)))
+    pack = lambda h, i: h.bitwiseAND(F.lit(~_MASK)).bitwiseOR(i.cast("long"))
+    repeats = F.size(F.array_distinct("__cw_h")) < F.size("__cw_h")  # most texts have none, and are done here
+    packed = F.when(repeats, F.sort_array(F.transform("__cw_h", pack)))
     out = out.withColumns({
         "n_words": F.size(w).cast("long"),
+        "word_chars": F.length(F.array_join(w, "")).cast("long"),
         "n_lines": F.size("__cw_l").cast("long"),
         "n_dup_lines": (F.size("__cw_l") - F.size(F.array_distinct("__cw_l"))).cast("long"),
         "__cw_p": packed,
@@ -124,22 +125,24 @@ def fences(measured: DataFrame, lang: str, source: str, reach: float, least: int
 
 
 def quality_rules(
-    docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", reach: float = 3.0, least: int = LEAST_GROUP, measured: DataFrame | None = None
+    docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", reach: float = 3.0, least: int = LEAST_GROUP, stored: bool = True
 ) -> DataFrame:
-    """Add the measures, ``base_failed`` and ``kept`` to every row of ``docs``.
+    """Every row of ``docs`` (without its text if ``stored``) with measures, ``base_failed`` and ``kept``.
 
     A text with fewer than 50 words, or with more than half of them in repeated windows,
     fails the base rule (so null and empty texts do). Others are kept unless a measure lies
     beyond its group's fence: the quartile plus ``reach`` times the spread between the
     quartiles, at least the width given with the measure. Null languages and sources are
-    groups like others. ``measured`` may hold the same measures, already stored, to
-    learn the fences from. The fences join back by group; one row a group.
+    groups like others. The measures are taken once: with ``stored`` (the default) they go
+    through the shared checkpoint folder with the columns of ``docs``, so choose only those
+    that are needed; texts that must stay are joined back by the caller, or ``stored`` is false
+    and the texts are measured a second time. The fences join back by group; one row a group.
     """
     names = ["base_failed", "kept"]
     full = measure(without(docs, *names), text).withColumns(rates())
-    if measured is None:
-        measured = full
-    limits = fences(measured.where(F.col("n_words") >= 50), lang, source, reach, least)
+    if stored:
+        full = cut(full.drop(text))
+    limits = fences(full.where(F.col("n_words") >= 50), lang, source, reach, least)
     joined = full.join(limits, F.col(lang).eqNullSafe(F.col("__cw_lang")) & F.col(source).eqNullSafe(F.col("__cw_source")), "left")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     beyond = [F.col(m) > F.col(f"{m}_hi") for m in [*HIGH, *BOTH]] + [F.col(m) < F.col(f"{m}_lo") for m in BOTH]
