@@ -45,8 +45,8 @@ def targets(sizes: dict[str | None, int], weights: Sequence[float], cap: float,
 def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
     """How many documents of each size to take, so that their sizes add up to ``budget`` or little less.
 
-    The bulk is taken in proportion to the counts. What remains is a bounded knapsack over
-    ``WINDOW`` words, whose reachable sums are the bits of an integer.
+    All but about half a ``WINDOW`` of words is taken in proportion to the counts. What remains
+    (a small budget as a whole) is a bounded knapsack, whose reachable sums are the bits of an integer.
     """
     take = np.zeros(len(sizes), dtype=np.int64)
     total = int((sizes * counts).sum())
@@ -54,7 +54,7 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int) ->
         return take
     if budget >= total:
         return counts.copy()
-    exact = counts * (budget / total)
+    exact = counts * (max(0, budget - WINDOW // 2) / total)
     take = np.minimum(np.floor(exact).astype(np.int64), counts)
     left = budget - int((take * sizes).sum())
     shuffled = np.random.default_rng(seed).permutation(len(sizes))
