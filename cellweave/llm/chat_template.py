@@ -220,6 +220,8 @@ def _block(items: Iterator, ends: tuple[str, ...]) -> tuple[tuple, str]:
     nodes: list[tuple] = []
     for kind, body in items:
         if kind == "text":
+            if "{{" in body or "{%" in body:
+                raise TemplateError(f"a marker is not closed: {body[:40]!r}")
             nodes.append(("text", body))
         elif kind == "{":
             e = _Expression(body)
