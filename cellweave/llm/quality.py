@@ -16,7 +16,7 @@ _PLACE = 30
 _MASK = (1 << _PLACE) - 1
 #: Measures held against fences: those that are bad when high, with the least width of a fence,
 #: and those that are bad on either side.
-HIGH = {"symbol_share": 0.05, "dup_line_share": 0.30, "repeat_share": 0.25}
+HIGH = {"symbol_share": 0.05, "dup_line_share": 0.50, "repeat_share": 0.40}
 BOTH = {"mean_word": 2.0}
 #: Items kept by each level of a sketch; groups up to this size have exact quartiles.
 SKETCH_K = 1024

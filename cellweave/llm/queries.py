@@ -143,8 +143,8 @@ ORACLES: dict[str, str] = {
         ),
         x AS (
             SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-                a > y.a3 + greatest(0.05, 3 * (y.a3 - y.a1)) OR b > y.b3 + greatest(0.30, 3 * (y.b3 - y.b1)) OR c > y.c3 + greatest(0.25, 3 * (y.c3 - y.c1))
-                OR e > y.e3 + greatest(2.0, 3 * (y.e3 - y.e1)) OR e < y.e1 - greatest(2.0, 3 * (y.e3 - y.e1)) AS odd
+                {' OR '.join(f'{x} > y.{x}3 + greatest({w}, 3 * (y.{x}3 - y.{x}1))' for x, w in zip('abc', quality.HIGH.values(), strict=True))}
+                OR e > y.e3 + greatest({quality.BOTH['mean_word']}, 3 * (y.e3 - y.e1)) OR e < y.e1 - greatest({quality.BOTH['mean_word']}, 3 * (y.e3 - y.e1)) AS odd
             FROM v
         )
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(odd, FALSE) AS kept FROM x""",
