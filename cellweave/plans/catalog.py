@@ -604,3 +604,125 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_cell = roads.groupBy("cell").agg(F.count("*").alias("n"), F.sum("length_m").alias("length_m"))
     out = rollup(by_cell, 4, {"n": "sum", "length_m": "sum"}, {"mean_m": ("length_m", "n", 1.0)})
     return out.select("cell", "n", F.round(F.col("length_m").cast("double"), 4).alias("length_m"), F.col("mean_m").cast("double").alias("mean_m"))
+
+
+# --- further joins and tables ---------------------------------------------------------------
+
+_MONTHS = "SELECT user_id, date_trunc('day', ts)::DATE AS day, count(*)::BIGINT AS n FROM events GROUP BY 1, 2"
+
+
+@query(f"WITH m AS ({_MONTHS}) SELECT a.user_id, a.day, a.n - b.n AS change FROM m a JOIN m b ON b.user_id = a.user_id AND b.day = a.day - 1")
+def temporal_change(spark, sf):
+    m = X.table(spark, sf, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
+    before = m.select("user_id", F.date_add("day", 1).alias("day"), F.col("n").alias("n0"))
+    return m.join(before, ["user_id", "day"]).select("user_id", "day", (F.col("n") - F.col("n0")).alias("change"))
+
+
+_SLOPE = f"SELECT cell, (count(*) % 10) / 10.0::DOUBLE AS slope FROM ({X.BUILDINGS}) GROUP BY cell"
+
+
+@query(
+    f"WITH s AS ({_SLOPE}), e AS (SELECT least(cell_a, cell_b) AS cell_a, greatest(cell_a, cell_b) AS cell_b, count(*)::BIGINT AS cost FROM ({_EDGES}) WHERE cell_a <> cell_b GROUP BY 1, 2) "
+    "SELECT e.cell_a, e.cell_b, cost, round(cost * (1 + (coalesce(a.slope, 0) + coalesce(b.slope, 0)) / 2), 6) AS friction FROM e LEFT JOIN s a ON a.cell = cell_a LEFT JOIN s b ON b.cell = cell_b"
+)
+def edge_friction(spark, sf):
+    cells = A.building_metrics(X.buildings(spark, sf)).select("cell", ((F.col("building_count") % 10) / 10.0).alias("slope"))
+    edges = A.edge_metrics(_edges(spark, sf), _SPEED).select("cell_a", "cell_b", F.col("crossings").alias("cost"))
+    return _r(A.friction(edges, cells).select("cell_a", "cell_b", "cost", "friction"), 6, "friction")
+
+
+@query("SELECT o_custkey AS source, o_orderkey, v AS version FROM (SELECT *, year(o_orderdate)::BIGINT AS v, max(year(o_orderdate)) OVER (PARTITION BY o_custkey) AS newest FROM orders) WHERE v < newest")
+def stale_outputs(spark, sf):
+    from cellweave.plans.runner import stale
+
+    o = X.table(spark, sf, "orders").select(F.col("o_custkey").alias("source"), "o_orderkey", F.year("o_orderdate").cast("long").alias("version"))
+    return stale(o, o.select("source", "version")).select("source", "o_orderkey", "version")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity, round(coalesce(l_discount, 0) + coalesce(CASE WHEN l_linenumber = 1 THEN NULL ELSE l_tax END, 0), 6) AS total FROM lineitem")
+def row_totals(spark, sf):
+    rows = X.table(spark, sf, "lineitem").withColumn("t", F.when(F.col("l_linenumber") != 1, F.col("l_tax")))
+    return rows.select("l_orderkey", "l_linenumber", "l_quantity", F.round(S.row_total(["l_discount", "t"]), 6).alias("total"))
+
+
+@query(f"SELECT raster_id, band, sum(CASE WHEN zone_id = 3 THEN 1 ELSE 0 END)::BIGINT AS n FROM ({X.PIXELS}) GROUP BY raster_id, band")
+def raster_extract_tile(spark, sf):
+    tiled = R.tile_pixels(X.pixels(spark, sf), 4).withColumn("hit", (F.col("tile_id") == "tile_r1_c1").cast("long"))
+    return tiled.groupBy("raster_id", "band").agg(F.sum("hit").alias("n"))
+
+
+@query(f"SELECT DISTINCT event_id AS cell, zone_id FROM ({X.POINTS}) JOIN ({X.ZONES}) ON lon > west AND lon < east AND lat > south AND lat < north")
+def feature_pairs(spark, sf):
+    from cellweave.functions.geometry import wkt_to_wkb
+
+    w, s, e, n = (F.col(c).cast("string") for c in ("west", "south", "east", "north"))
+    sp, cm = F.lit(" "), F.lit(",")
+    ring = F.concat(F.lit("POLYGON(("), w, sp, s, cm, e, sp, s, cm, e, sp, n, cm, w, sp, n, cm, w, sp, s, F.lit("))"))
+    polygons = X.zones(spark, sf).withColumn("geom_wkb", wkt_to_wkb(ring)).select("zone_id", "geom_wkb")
+    return J.feature_pairs(X.points(spark, sf).select(F.col("event_id").alias("cell"), "lon", "lat"), polygons, "zone_id")
+
+
+@query(f"WITH RECURSIVE e AS (SELECT DISTINCT s_nationkey % 7 AS a, s_suppkey % 50 + 100 AS b FROM supplier), n AS (SELECT a AS x, b AS y FROM e UNION SELECT b, a FROM e), r AS (SELECT x, x AS y FROM n UNION SELECT r.x, n.y FROM r JOIN n ON n.x = r.y) SELECT x AS node, min(y) AS label FROM r GROUP BY x")
+def graph_components(spark, sf):
+    from cellweave.operators.graph import components
+
+    s = X.table(spark, sf, "supplier")
+    return components(s.select((F.col("s_nationkey") % 7).cast("long").alias("src"), (F.col("s_suppkey") % 50 + 100).alias("dst")).distinct())
+
+
+@query(
+    "WITH RECURSIVE e AS (SELECT DISTINCT s_suppkey % 40 AS a, (s_suppkey * 7 + 3) % 40 AS b FROM supplier), d AS (SELECT 1::BIGINT AS node, 0 AS k UNION SELECT e.b, d.k + 1 FROM d JOIN e ON e.a = d.node WHERE d.k < 40) SELECT node, min(k)::DOUBLE AS cost FROM d GROUP BY node"
+)
+def graph_distances(spark, sf):
+    from cellweave.operators.graph import distances
+
+    s = X.table(spark, sf, "supplier")
+    edges = s.select((F.col("s_suppkey") % 40).alias("src"), ((F.col("s_suppkey") * 7 + 3) % 40).alias("dst"), F.lit(1.0).alias("cost")).distinct()
+    return distances(edges, spark.range(1, 2).select(F.col("id").alias("node")))
+
+
+# --- geometry, without SQL ------------------------------------------------------------------
+
+
+def _shapes(spark, sf):
+    k = F.col("o_orderkey")
+    x, y = (k % 340 - 170).cast("string"), (k % 120 - 60).cast("string")
+    x2, y2 = (k % 340 - 170 + 15).cast("string"), (k % 120 - 60 + 3).cast("string")
+    sp, cm = F.lit(" "), F.lit(", ")
+    ring = F.concat(F.lit("POLYGON (("), x, sp, y, cm, x, sp, y2, cm, x2, sp, y2, cm, x2, sp, y, cm, x, sp, y, F.lit("))"))
+    line = F.concat(F.lit("LINESTRING ("), x, sp, y, cm, x2, sp, y2, F.lit(")"))
+    point = F.concat(F.lit("POINT ("), x, sp, y, F.lit(")"))
+    wkt = F.when(k % 4 == 0, ring).when(k % 4 == 1, line).when(k % 4 == 2, point)
+    return X.table(spark, sf, "orders").select("o_orderkey", wkt.alias("wkt"))
+
+
+@query()
+def wkb_roundtrip(spark, sf):
+    from cellweave.functions.geometry import wkb_to_wkt, wkt_to_wkb
+
+    return _shapes(spark, sf).select("o_orderkey", wkb_to_wkt(wkt_to_wkb("wkt")).eqNullSafe(F.col("wkt")).alias("same"))
+
+
+@query()
+def geodesic_measures(spark, sf):
+    from cellweave.functions import geometry as G
+
+    g = _shapes(spark, sf).withColumn("g", G.wkt_to_wkb("wkt"))
+    return g.select("o_orderkey", F.round(G.st_length_m("g"), 3).alias("length_m"), F.round(G.st_area_m2("g"), 0).alias("area_m2"), G.centroid("g").alias("c")).select("o_orderkey", "length_m", "area_m2", "c.*")
+
+
+@query()
+def vector_clean_report(spark, sf):
+    from cellweave.functions.geometry import wkt_to_wkb
+    from cellweave.operators.vector import clean_geometries
+
+    return clean_geometries(_shapes(spark, sf).withColumn("geom_wkb", wkt_to_wkb("wkt")).drop("wkt"))[1]
+
+
+@query()
+def vector_clean(spark, sf):
+    from cellweave.functions.geometry import wkb_to_wkt, wkt_to_wkb
+    from cellweave.operators.vector import clean_geometries
+
+    rows = clean_geometries(_shapes(spark, sf).withColumn("geom_wkb", wkt_to_wkb("wkt")).drop("wkt"))[0]
+    return rows.select("o_orderkey", wkb_to_wkt("geom_wkb").alias("wkt"))
