@@ -476,6 +476,9 @@ class _Pages:
             parts.append(self.paragraph())
             if r.random() < 0.06:
                 parts.append(r.choice([self.ad, self.notice, self.side, self.share, self.form])())
+        if r.random() < 0.4:
+            self.count += 1
+            parts.append(f"<p>{self.kept(self.sentence(1, 8) + f' s{self.count}')}</p>")
         body = "".join(parts)
         wrap = r.random()
         if wrap < 0.4:
