@@ -308,7 +308,7 @@ _RT = f"(SELECT cell, count(*) AS n, max(length_m) AS x FROM ({X.SEGMENTS}) WHER
 @query(
     "WITH j AS (SELECT l.cell AS lc, r.cell AS rc, l.n AS ln, r.n AS rn, l.x AS lx, r.x AS rx FROM " + _L + " l FULL JOIN " + _RT + " r ON l.cell = r.cell) "
     + " UNION ALL ".join(
-        f"SELECT '{m}' AS metric, sum(l{c})::DECIMAL(38,2)::DOUBLE AS total_left, sum(r{c})::DECIMAL(38,2)::DOUBLE AS total_right, round(sum(l{c})::DECIMAL(38,2)::DOUBLE / sum(r{c})::DECIMAL(38,2)::DOUBLE, 8) AS ratio, "
+        f"SELECT '{m}' AS metric, round(sum(l{c})::DECIMAL(38,4)::DOUBLE, 4) AS total_left, round(sum(r{c})::DECIMAL(38,4)::DOUBLE, 4) AS total_right, round(sum(l{c})::DECIMAL(38,4)::DOUBLE / sum(r{c})::DECIMAL(38,4)::DOUBLE, 8) AS ratio, "
         f"round((max(abs(l{c} - r{c})) FILTER (WHERE lc = rc))::DOUBLE, 4) AS max_diff, (SELECT count(*) FROM j WHERE lc = rc)::BIGINT AS both, (SELECT count(*) FROM j WHERE rc IS NULL)::BIGINT AS left_only, (SELECT count(*) FROM j WHERE lc IS NULL)::BIGINT AS right_only FROM j"
         for m, c in (("n", "n"), ("x", "x"))
     )
@@ -317,7 +317,7 @@ def road_compare(spark, sf):
     s = X.segments(spark, sf).where("subtype = 'road'")
     agg = lambda df: df.groupBy("cell").agg(F.count("*").alias("n"), F.max("length_m").alias("x"))
     out = A.compare(agg(s), agg(s.where(F.col("class").isin(*A.ROAD_CLASSES) & (F.col("l_partkey") % 10 != 0))), ["n", "x"])
-    return _r(out.drop("mean_diff"), 2, "total_left", "total_right")
+    return _r(out.drop("mean_diff"), 4, "total_left", "total_right")
 
 
 @query(f"SELECT {X.parent_sql('cell', 3)} AS h3_l3, count(*)::BIGINT AS n, min(cell) AS first_cell FROM ({X.SEGMENTS}) GROUP BY 1")
