@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.errors import CellError, RasterError
@@ -176,9 +176,13 @@ def throughput(records: DataFrame, seconds: str = "query_s", worker: str | None
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row for each key, the first by ``order``; the order should be total."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__cw_rank", F.row_number().over(w)).where("__cw_rank = 1").drop("__cw_rank")
+    """One row for each key, the first by ``order`` (nulls first); the order should be total.
+
+    A smallest row is a partial aggregate, so a hot key costs one row for each task and no sort.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*order)).alias("__cw_first")
+    return df.groupBy(*keys).agg(first).select(*keys, *[F.col("__cw_first")[c].alias(c) for c in rest]).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def category_metrics(df: DataFrame, key: str, category: str, length: str | None = None, area: str | None = None) -> DataFrame:

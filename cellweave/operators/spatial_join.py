@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellweave.functions.geometry import decode, rings_of
+from cellweave.operators.aggregate import first_rows
 from cellweave.session import ship
 
 #: Degrees of a covering square.
@@ -94,8 +95,7 @@ def assign_polygons(
     near = tagged.join(cover, ["__qx", "__qy"]).where(F.col(x).between(F.col("west"), F.col("east")) & F.col(y).between(F.col("south"), F.col("north")))
     hits = near.where(point_within(F.col(x), F.col(y), F.col(geometry))).drop("__qx", "__qy", "west", "south", "east", "north", geometry)
     if first_only:
-        w = Window.partitionBy(key).orderBy(order)
-        hits = hits.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
+        hits = first_rows(hits, [key], [order])
     return hits if order in columns else hits.drop(order)
 
 

@@ -14,6 +14,7 @@ from cellweave.operators import select as S
 from cellweave.operators import spatial_join as J
 from cellweave.operators.rollup import rollup
 from cellweave.plans import fixtures as X
+from cellweave.session import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -500,7 +501,7 @@ def semi_land(spark, sf):
     f"SELECT metric, level, round(total, 1) AS total, 1.0::DOUBLE AS share FROM (SELECT 'building_count' AS metric, count(*)::DOUBLE AS total FROM ({X.BUILDINGS}) UNION ALL SELECT 'total_building_area_m2', sum(area_m2) FROM ({X.BUILDINGS})), (VALUES ('l5'), ('l4'), ('l3')) v(level)"
 )
 def conservation(spark, sf):
-    l5 = A.building_metrics(X.buildings(spark, sf)).select("cell", "building_count", "total_building_area_m2")
+    l5 = cut(A.building_metrics(X.buildings(spark, sf)).select("cell", "building_count", "total_building_area_m2"))  # read once, used by all levels
     spec = {"building_count": "sum", "total_building_area_m2": "sum"}
     l4 = rollup(l5, 4, spec)
     out = A.conservation({"l5": l5, "l4": l4, "l3": rollup(l4, 3, spec)}, list(spec), "l5")
