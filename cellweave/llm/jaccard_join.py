@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cellweave.llm.common import _arrow_schema, map_batches
 from cellweave.session import cut, ship
 
-COORDINATES, SMALL, BLOCK, DEPTH, RECALL = 64, 256, 128, 3, 0.9999
+COORDINATES, SMALL, BLOCK, DEPTH, RECALL = 64, 1024, 256, 3, 0.99999
 #: Representatives whose texts are fetched by a broadcast of their keys (8 bytes each); more are joined by shuffle.
 BROADCAST_KEYS = 2_000_000
 
@@ -151,6 +151,7 @@ def buckets(nodes: DataFrame, runs: int, similarity: float) -> DataFrame:
     """Final buckets: ``a``, ``b``, path ``p`` and bucket size ``m`` (2 or more)."""
     rows, done = _first_paths(nodes, runs, similarity), None
     for level in range(1, DEPTH + 1):
+        rows = cut(rows)  # counted, then joined to the counts
         sizes = rows.groupBy("p").agg(F.count("*").alias("m")).where("m > 1")
         sized = cut(rows.join(sizes, "p").select("a", "b", "p", "m"))
         final = sized if level == DEPTH else sized.where(F.col("m") <= SMALL)
