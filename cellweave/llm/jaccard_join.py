@@ -152,7 +152,7 @@ def buckets(nodes: DataFrame, runs: int, similarity: float) -> DataFrame:
     rows, done = _first_paths(nodes, runs, similarity), None
     for level in range(1, DEPTH + 1):
         rows = cut(rows)  # counted, then joined to the counts
-        sizes = rows.groupBy("p").agg(F.count("*").alias("m")).where("m > 1")
+        sizes = cut(rows.groupBy("p").agg(F.count("*").alias("m")).where("m > 1"))  # a plain join side, so a hot bucket can be split
         sized = cut(rows.join(sizes, "p").select("a", "b", "p", "m"))
         final = sized if level == DEPTH else sized.where(F.col("m") <= SMALL)
         done = final if done is None else done.unionByName(final)
