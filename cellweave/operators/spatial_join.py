@@ -38,40 +38,47 @@ def rectangles_join(points: DataFrame, zones: DataFrame, x: str, y: str, columns
     return tagged.join(cover, ["__qx", "__qy"]).where(cond).drop("__qx", "__qy", "west", "south", "east", "north")
 
 
-def _inside(px: float, py: float, ring: np.ndarray) -> tuple[bool, bool]:
-    """Whether a point is inside a closed ring, and whether it is on it."""
-    x1, y1, x2, y2 = ring[:-1, 0], ring[:-1, 1], ring[1:, 0], ring[1:, 1]
-    cross = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
-    on = (cross == 0) & (np.minimum(x1, x2) <= px) & (px <= np.maximum(x1, x2)) & (np.minimum(y1, y2) <= py) & (py <= np.maximum(y1, y2))
-    if on.any():
-        return False, True
-    spans = (y1 > py) != (y2 > py)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        at = x1 + (py - y1) * (x2 - x1) / (y2 - y1)
-    return bool((spans & (px < at)).sum() % 2), False
+def _inside(px: np.ndarray, py: np.ndarray, ring: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which points are inside a closed ring, and which are on it; edges are taken in chunks of bounded size."""
+    odd, on = np.zeros(len(px), dtype=bool), np.zeros(len(px), dtype=bool)
+    step = max(1, 2_000_000 // max(1, len(px)))
+    x, y = px[:, None], py[:, None]
+    for i in range(0, len(ring) - 1, step):
+        p, q = ring[i : i + step + 1][:-1], ring[i : i + step + 1][1:]
+        x1, y1, x2, y2 = p[:, 0], p[:, 1], q[:, 0], q[:, 1]
+        cross = (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)
+        on |= ((cross == 0) & (np.minimum(x1, x2) <= x) & (x <= np.maximum(x1, x2)) & (np.minimum(y1, y2) <= y) & (y <= np.maximum(y1, y2))).any(axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            at = x1 + (y - y1) * (x2 - x1) / (y2 - y1)
+        odd ^= (((y1 > y) != (y2 > y)) & (x < at)).sum(axis=1) % 2 == 1
+    return odd & ~on, on
+
+
+def within_many(px: np.ndarray, py: np.ndarray, polygons: list[list[np.ndarray]]) -> np.ndarray:
+    """Which points lie in the interior: inside an outer ring and in or on no hole; edges are outside."""
+    out = np.zeros(len(px), dtype=bool)
+    for rings in polygons:
+        hit, _ = _inside(px, py, rings[0])
+        for hole in rings[1:]:
+            inside, on = _inside(px, py, hole)
+            hit &= ~inside & ~on
+        out |= hit
+    return out
 
 
 def within(px: float, py: float, polygons: list[list[np.ndarray]]) -> bool:
-    """Whether a point lies in the interior: inside an outer ring and in no hole; edges are outside."""
-    for rings in polygons:
-        inside, on = _inside(px, py, rings[0])
-        if inside and not on and not any(any(_inside(px, py, hole)) for hole in rings[1:]):
-            return True
-    return False
+    return bool(within_many(np.array([px], dtype=float), np.array([py], dtype=float), polygons)[0])
 
 
 @F.pandas_udf(T.BooleanType())
 def point_within(x: pd.Series, y: pd.Series, wkb: pd.Series) -> pd.Series:
-    parsed: dict[bytes, list] = {}
-    out = []
-    for px, py, raw in zip(x, y, wkb, strict=True):
-        if raw is None or px != px or py != py:
-            out.append(False)
-            continue
-        raw = bytes(raw)
-        if raw not in parsed:
-            parsed[raw] = rings_of(decode(raw))
-        out.append(within(px, py, parsed[raw]))
+    """Points against polygons, all points of a batch that meet one polygon at once."""
+    px, py, out = x.to_numpy(dtype=float, na_value=np.nan), y.to_numpy(dtype=float, na_value=np.nan), np.zeros(len(x), dtype=bool)
+    code, shapes = pd.factorize(wkb.map(lambda v: None if v is None else bytes(v)))
+    for i, raw in enumerate(shapes):
+        rows = np.flatnonzero((code == i) & ~np.isnan(px) & ~np.isnan(py))
+        if len(rows):
+            out[rows] = within_many(px[rows], py[rows], rings_of(decode(raw)))
     return pd.Series(out)
 
 
