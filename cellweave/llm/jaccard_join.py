@@ -356,9 +356,10 @@ def components(edges: DataFrame) -> DataFrame:
     edges = cut(edges.select(F.greatest("u", "v").alias("v"), F.least("u", "v").alias("u")).where("u <> v").distinct())
     while True:
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("o"))
+        least = cut(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("o")))  # stored, so joins can split a hot member
         large = both.join(least, "v").where(F.col("u") > F.col("v")).select(F.col("u").alias("v"), F.col("o").alias("u")).distinct()
-        lower = large.groupBy("v").agg(F.min("u").alias("o"))
+        large = cut(large)
+        lower = cut(large.groupBy("v").agg(F.min("u").alias("o")))
         small = large.join(lower, "v").select(F.col("u").alias("v"), F.col("o").alias("u")).unionByName(lower.select("v", F.col("o").alias("u")))
         new = cut(small.where("u <> v").distinct())
         if new.count() == edges.count() and new.exceptAll(edges).isEmpty():
