@@ -27,8 +27,10 @@ _GAP = re.compile(r"[\x20\x09-\x0D]+")
 _LABELLED = re.compile(r"[^=:#]{2,40}[=:#](?=.)")
 _EDGE = " \t\n\x0b\x0c\r.,;:!?()[]{}<>\"'"
 
-#: Rounds of scoring; the confidence and the distinct good instances that a pattern needs.
-ROUNDS, CONFIDENCE, SUPPORT = 3, 0.8, 5
+#: The confidence and the distinct good instances that a pattern needs.
+CONFIDENCE, SUPPORT = 0.8, 5
+#: Scoring ends when no accepted pattern's score rises by more in a round.
+STILL = 1e-6
 #: Least characters and digits of an unseen identifier.
 LEAST_CHARS, LEAST_DIGITS = 6, 2
 #: Accepted patterns in one broadcast; more go in further ones, looked up one after the other.
@@ -128,12 +130,15 @@ def mentions(text: str | None, base: list[tuple[str, int, int]]) -> Iterator[tup
             yield a, b, patterns, seed
 
 
-def learn_patterns(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
+def learn_patterns(docs: DataFrame, text: str = "text", rounds: int | None = None, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
     """High-confidence lexical patterns: ``pattern``, ``score``, ``n_good``.
 
     The graph has an edge for each pattern and instance that occur together anywhere in the
     corpus. Seeds score 1. In each round a pattern scores the mean of its instances (with one
     bad one added), and an instance the chance that any of its confident patterns is right.
+    Discovered instances count as seeds do, so a pattern may have no seed of its own. Scores
+    never fall, and rounds go on until they stand still (or ``rounds`` are done). Patterns with
+    fewer than ``support`` instances can't be accepted, and their edges are left out.
     Edges are made distinct by partial aggregation first, so a pattern or an instance that is
     very frequent gives one row to each task. Null and empty texts give no edges.
     """
@@ -151,19 +156,23 @@ def learn_patterns(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, co
 
     edges = map_batches(narrow, run, "pattern string, instance string, seed boolean")
     edges = cut(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
-    scored = edges.withColumn("score", F.col("seed").cast("double"))
-    patterns = None
-    for r in range(rounds):
-        patterns = scored.groupBy("pattern").agg(
-            (F.sum("score") / (F.count("*") + 1)).alias("score"), F.sum((F.col("score") >= 0.5).cast("long")).alias("n_good"), F.max("seed").alias("seeded")
+    enough = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= support)
+    edges = cut(edges.join(enough.select("pattern"), "pattern", "left_semi"))
+    scored, before, r = edges.withColumn("score", F.col("seed").cast("double")), None, 0
+    while True:
+        patterns = scored.groupBy("pattern").agg((F.sum("score") / (F.count("*") + 1)).alias("score"), F.sum((F.col("score") >= 0.5).cast("long")).alias("n_good"))
+        good = cut(patterns.where((F.col("score") >= confidence) & (F.col("n_good") >= support)))
+        rise = good.select("pattern", "score")
+        if before is not None:
+            rise = rise.join(before.select("pattern", F.col("score").alias("old")), "pattern", "left").select((F.col("score") - F.coalesce("old", F.lit(0.0))).alias("score"))
+        r += 1
+        if r == rounds or rise.where(F.col("score") > STILL).isEmpty():
+            return good
+        before = good
+        doubt = edges.join(good, "pattern").groupBy("instance").agg(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))).alias("doubt"))
+        scored = edges.join(doubt, "instance", "left").select(
+            "pattern", "instance", "seed", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp(F.coalesce("doubt", F.lit(0.0)))).alias("score")
         )
-        good = patterns.where((F.col("score") >= confidence) & (F.col("n_good") >= support) & F.col("seeded")).select("pattern", "score", "n_good")
-        if r + 1 < rounds:
-            doubt = edges.join(good, "pattern").groupBy("instance").agg(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))).alias("doubt"))
-            scored = edges.join(doubt, "instance", "left").select(
-                "pattern", "instance", "seed", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp(F.coalesce("doubt", F.lit(0.0)))).alias("score")
-            )
-    return cut(good)
 
 
 def _extra(text: str, base: list[tuple[str, int, int]], accepted) -> list[tuple[str, int, int]]:

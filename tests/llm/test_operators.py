@@ -202,6 +202,18 @@ def test_contexts_find_unseen_identifiers(spark):
     assert clean[100] == "please note contact: [ID] for this" and clean[101] == "the model A4711x2 is new" and clean[102] is None and "[EMAIL]" in clean[0]
 
 
+def test_contexts_make_a_second_hop(spark):
+    seeds = [f"some words here contact: user{i}@mail.example.com and more text" for i in range(60)]
+    handles = [f"x{i}-4711" for i in range(12)]
+    first = [f"some words here contact: {h} and more text" for h in handles]
+    second = [f"please note handle: {h} for this" for h in handles]
+    third = ["please note handle: x99-4711 for this", "please note serial: x98-4711 for this"]
+    df = spark.createDataFrame(list(enumerate(seeds + first + second + third)), "doc_id long, text string")
+    assert {"L contact:", "L handle:"} <= {r["pattern"] for r in pii.learn_patterns(df).collect()}
+    out = {r["doc_id"]: r["spans"] for r in pii.find_pii(df).collect()}
+    assert out[84] == "id:20:28" and out[85] == ""
+
+
 def test_pii_edges(texts, empty):
     assert pii.find_pii(texts).count() == 11 and pii.find_pii(empty).count() == 0
     assert pii.redact(texts).columns == texts.columns
