@@ -6,6 +6,7 @@ import hashlib
 import math
 from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -109,12 +110,13 @@ def find_contaminated(
     has. Null and empty texts contain nothing and are contained in nothing; items with a null
     key are ignored; several texts of one item key are several items. Repeated documents
     give repeated rows. Whole documents are read, in one pass without a shuffle for each
-    ``INDEX_CHARS`` of items, and each task holds one such index.
+    ``INDEX_CHARS`` of items, and each task holds one such index. After several passes the
+    rows found, not the texts, are brought together by key and digest of the text.
     """
     ship(docs.sparkSession)
     narrow = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     kind, item_kind = dict(narrow.dtypes)["k"], dict(items.dtypes)[item_key]
-    out = None
+    parts = []
     for rows in _shards(items, item_key, item_text):
         names = dict(enumerate(k for k, _ in rows))
         index = ContainmentIndex.build([(i, t) for i, (_, t) in enumerate(rows)], width, share)
@@ -122,17 +124,31 @@ def find_contaminated(
 
         def run(batch, held=held):
             index, names = held.value
-            keys, ids, shares = [], [], []
+            keys, digests, ids, shares = [], [], [], []
             for k, t in zip(batch.column("k").to_pylist(), batch.column("t").to_pylist(), strict=True):
                 if hits := index.search(t):
                     keys.append(k)
+                    digests.append(hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest())
                     ids.append(sorted({names[i] for i, _ in hits}))
                     shares.append(max(c for _, c in hits))
-            return {"k": keys, "items": ids, "containment": shares}
+            return {"k": keys, "digest": digests, "items": ids, "containment": shares}
 
-        part = map_batches(narrow, run, f"k {kind}, items array<{item_kind}>, containment double")
-        out = part if out is None else out.unionByName(part)
-    return out.withColumnRenamed("k", key)
+        parts.append(map_batches(narrow, run, f"k {kind}, digest binary, items array<{item_kind}>, containment double"))
+    out = parts[0] if len(parts) == 1 else _merged(parts)
+    return out.select(F.col("k").alias(key), "items", "containment")
+
+
+def _merged(parts: list[DataFrame]) -> DataFrame:
+    """The rows that several passes found, one for each document again.
+
+    Copies of a document (same key, same text) have the same row in a pass, so a pass counts
+    them, and the merged row is repeated as often.
+    """
+    counted = [p.groupBy("k", "digest").agg(F.first("items").alias("items"), F.max("containment").alias("containment"), F.count("*").alias("n")) for p in parts]
+    rows = reduce(DataFrame.unionByName, counted).groupBy("k", "digest").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("containment").alias("containment"), F.max("n").alias("n")
+    )
+    return rows.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("n"))))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

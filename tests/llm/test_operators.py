@@ -367,6 +367,18 @@ def test_more_items_than_one_broadcast(spark, monkeypatch):
     assert [r["doc_id"] for r in dc.drop_contaminated(d, b).collect()] == [99]
 
 
+def test_one_row_for_items_of_several_broadcasts(spark, monkeypatch):
+    items = [(i, " ".join(f"i{i}w{j}" for j in range(20))) for i in range(12)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    most = " ".join(t for _, t in items[1:])
+    docs = [(1, most), (1, most), (1, items[0][1]), (None, most), (2, items[3][1] + " " + " ".join(items[4][1].split()[:18])), (3, "clean")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    whole = sorted(map(repr, dc.find_contaminated(d, b).collect()))
+    monkeypatch.setattr(dc, "INDEX_CHARS", 200)
+    assert len(list(dc._shards(b, "item_id", "text"))) > 1
+    assert sorted(map(repr, dc.find_contaminated(d, b).collect())) == whole and len(whole) == 5
+
+
 # --- 9 --------------------------------------------------------------------------------------
 
 
