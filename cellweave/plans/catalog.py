@@ -682,6 +682,26 @@ def graph_distances(spark, sf):
     return distances(edges, spark.range(1, 2).select(F.col("id").alias("node")))
 
 
+def _order_parts(spark, sf):
+    """Orders and their parts as one graph with the keys of the whole table: orders at 0 and above, parts below."""
+    rows = X.table(spark, sf, "lineitem")
+    return rows.select(F.col("l_orderkey").cast("long").alias("src"), (-1 - F.col("l_partkey").cast("long")).alias("dst"), F.col("l_quantity").cast("double").alias("cost"))
+
+
+@query()
+def graph_components_all(spark, sf):
+    from cellweave.operators.graph import components
+
+    return components(_order_parts(spark, sf))
+
+
+@query()
+def graph_distances_all(spark, sf):
+    from cellweave.operators.graph import both_ways, distances
+
+    return distances(both_ways(_order_parts(spark, sf)), spark.range(1, 2).select(F.col("id").alias("node")))
+
+
 # --- geometry, without SQL ------------------------------------------------------------------
 
 
