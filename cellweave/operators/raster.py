@@ -150,12 +150,15 @@ def pixel_of(lon: Column, lat: Column, left: float, top: float, res_x: float, re
 
 
 def sample_nearest(
-    points: DataFrame, pixels: DataFrame, left: float, top: float, res_x: float, res_y: float, width: int, height: int, nodata: float | None = None, clamp: bool = True, lon: str = "lon", lat: str = "lat"
+    points: DataFrame, pixels: DataFrame, left: float, top: float, res_x: float, res_y: float, width: int, height: int, nodata: float | None = None, clamp: bool = True, lon: str = "lon", lat: str = "lat", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Points with the float ``value`` of the pixel that holds them; null for nodata and (without ``clamp``) outside."""
+    """Points with the float ``value`` of the pixel that holds them; null for nodata and (without ``clamp``) outside.
+
+    With ``by`` (such as the raster) a point is sampled on the pixels that have its values there.
+    """
     row, col = pixel_of(F.col(lon), F.col(lat), left, top, res_x, res_y, width, height, clamp)
-    grid = pixels.select("row", "col", _valid("value", nodata).cast("float").alias("value"))
-    return points.withColumns({"row": row, "col": col}).join(grid.withColumns({"row": F.col("row").cast("long"), "col": F.col("col").cast("long")}), ["row", "col"], "left").drop("row", "col")
+    grid = pixels.select(*by, "row", "col", _valid("value", nodata).cast("float").alias("value"))
+    return points.withColumns({"row": row, "col": col}).join(grid.withColumns({"row": F.col("row").cast("long"), "col": F.col("col").cast("long")}), [*by, "row", "col"], "left").drop("row", "col")
 
 
 def sample_axis(points: DataFrame, grid: DataFrame, axis_lat: Sequence[float], axis_lon: Sequence[float]) -> DataFrame:
@@ -180,13 +183,13 @@ def first_time(grid: DataFrame, time: str = "time") -> DataFrame:
     return grid.join(F.broadcast(least), F.col(time).eqNullSafe(F.col("__t"))).drop("__t")
 
 
-def grid_on_raster(cells: DataFrame, pixels: DataFrame, left: float, top: float, res_x: float, res_y: float, width: int, height: int, nodata: float | None = None, exclude_zero: bool = True) -> DataFrame:
-    """Cells whose centre (``lat, lon``) lies on a pixel with data, by default other than 0."""
+def grid_on_raster(cells: DataFrame, pixels: DataFrame, left: float, top: float, res_x: float, res_y: float, width: int, height: int, nodata: float | None = None, exclude_zero: bool = True, by: Sequence[str] = ()) -> DataFrame:
+    """Cells whose centre (``lat, lon``) lies on a pixel with data, by default other than 0; with ``by`` one of the cell's own raster."""
     row, col = pixel_of(F.col("lon"), F.col("lat"), left, top, res_x, res_y, width, height, clamp=False)
     v = _valid("value", nodata)
     keep = v.isNotNull() & (v != 0) if exclude_zero else v.isNotNull()
-    good = pixels.where(keep).select(F.col("row").cast("long").alias("__r"), F.col("col").cast("long").alias("__c")).distinct()
-    return cells.withColumns({"__r": row, "__c": col}).join(good, ["__r", "__c"], "left_semi").drop("__r", "__c")
+    good = pixels.where(keep).select(*by, F.col("row").cast("long").alias("__r"), F.col("col").cast("long").alias("__c")).distinct()
+    return cells.withColumns({"__r": row, "__c": col}).join(good, [*by, "__r", "__c"], "left_semi").drop("__r", "__c")
 
 
 def cells_with_data(pixels: DataFrame, cell: str = "cell", nodata: float | None = None) -> DataFrame:

@@ -369,6 +369,11 @@ def is_categorical(spark, sf):
     return R.is_categorical(p.where("row < 6 and col < 7"), most=40)
 
 
+@query(f"SELECT raster_id, count(DISTINCT value) < 40 AS categorical FROM ({X.PIXELS}) WHERE row < 1024 AND col < 1024 GROUP BY raster_id")
+def is_categorical_all(spark, sf):
+    return R.is_categorical(X.pixels(spark, sf), most=40)
+
+
 _META = "SELECT vec_id AS raster_id, CASE vec_id % 5 WHEN 0 THEN 'palette' WHEN 1 THEN 'rgb' ELSE 'gray' END AS color_interp, (vec_id % 4 + 1)::INT AS band_count, ['uint8','uint16','float32','int16','float64'][vec_id % 5 + 1] AS dtype, vec_id % 2 = 0 AS categorical, 100 + vec_id AS width, 200 + vec_id AS height FROM embeddings"
 
 
@@ -414,6 +419,28 @@ def grid_on_raster(spark, sf):
     return R.grid_on_raster(X.points(spark, sf), X.pixels(spark, sf).where("raster_id = 5"), -100.0, 40.0, 25.0, 10.0, 8, 8, X.NODATA).select("event_id")
 
 
+#: Each point belongs to one raster; the points are dealt over all rasters, however many there are.
+_DEALT = f"SELECT *, event_id % (SELECT count(*) FROM embeddings) AS raster_id, floor((lon + 100) / 25.0::DOUBLE)::BIGINT AS c, floor((40 - lat) / 10.0::DOUBLE)::BIGINT AS w FROM ({X.POINTS})"
+
+
+def _dealt(spark, sf):
+    n = X.table(spark, sf, "embeddings").agg(F.count("*").alias("__n"))
+    return X.points(spark, sf).crossJoin(F.broadcast(n)).withColumn("raster_id", F.col("event_id") % F.col("__n")).drop("__n")
+
+
+@query(
+    f"SELECT event_id, p.raster_id, CASE WHEN abs(g.value + 9999) > 1e-8 + 1e-5 * 9999 THEN g.value::FLOAT END AS value FROM ({_DEALT}) p LEFT JOIN ({X.PIXELS}) g ON g.raster_id = p.raster_id AND g.row = least(greatest(w, 0), 7) AND g.col = least(greatest(c, 0), 7)"
+)
+def point_sample_all(spark, sf):
+    p = _dealt(spark, sf).select("event_id", "raster_id", "lon", "lat")
+    return R.sample_nearest(p, X.pixels(spark, sf), -100.0, 40.0, 25.0, 10.0, 8, 8, X.NODATA, by=["raster_id"]).select("event_id", "raster_id", "value")
+
+
+@query(f"SELECT event_id, p.raster_id FROM ({_DEALT}) p JOIN ({X.PIXELS}) g ON g.raster_id = p.raster_id AND g.row = w AND g.col = c WHERE g.value <> 0 AND abs(g.value + 9999) > 1e-8 + 1e-5 * 9999")
+def grid_on_rasters_all(spark, sf):
+    return R.grid_on_raster(_dealt(spark, sf), X.pixels(spark, sf), -100.0, 40.0, 25.0, 10.0, 8, 8, X.NODATA, by=["raster_id"]).select("event_id", "raster_id")
+
+
 @query(
     f"SELECT raster_id, 'tile_r' || (ro // 90) || '_c' || (co // 90) AS tile_id, ro::INT AS row_off, co::INT AS col_off, least(100, width - co)::INT AS tile_width, least(100, height - ro)::INT AS tile_height FROM (SELECT raster_id, width, height, unnest(range(0, height, 90)) AS ro FROM ({_META})) , LATERAL (SELECT unnest(range(0, width, 90)) AS co)"
 )
@@ -453,6 +480,16 @@ def raster_mosaic(spark, sf):
     return R.mosaic([one(4, 6), one(3, 7)], X.NODATA)
 
 
+@query(
+    f"SELECT band, row, col, arg_max(value, i) AS value FROM (SELECT band, raster_id // 3 // 100 * 8 + row AS row, raster_id // 3 % 100 * 4 + col AS col, raster_id // 3 % 2 AS i, value FROM ({X.PIXELS}) WHERE value <> -9999) GROUP BY ALL"
+)
+def raster_mosaic_all(spark, sf):
+    """The rasters of a band in rows of 100 that overlap by half; those of odd place lie on top."""
+    place = F.floor(F.col("raster_id") / 3)
+    p = X.pixels(spark, sf).withColumns({"place": place, "row": F.floor(place / 100) * 8 + F.col("row"), "col": place % 100 * 4 + F.col("col")})
+    return R.mosaic([p.where("place % 2 = 0"), p.where("place % 2 = 1")], X.NODATA)
+
+
 @query(f"SELECT raster_id, band, (row // 2)::BIGINT AS row, (col // 2)::BIGINT AS col, avg(value) AS value FROM ({X.PIXELS}) GROUP BY raster_id, band, row // 2, col // 2")
 def raster_overview(spark, sf):
     return R.level_one(X.pixels(spark, sf))

@@ -40,3 +40,20 @@ def test_distances_over_the_whole_table(spark, sf_dir, duck):
                 heapq.heappush(heap, (d + c, y))
     got = {r["node"]: r["cost"] for r in catalog.QUERIES["graph_distances_all"](spark, sf_dir).collect()}
     assert got == best and len(got) > 57
+
+
+def test_rasters_as_a_whole(spark, sf_dir, duck):
+    n, points = (duck.execute(f"SELECT count(*) FROM {t}").fetchone()[0] for t in ("embeddings", "events"))
+    run = lambda name: catalog.QUERIES[name](spark, sf_dir).collect()
+    sampled = run("point_sample_all")
+    assert len(sampled) == points and {r["raster_id"] for r in sampled} == set(range(min(n, points)))
+    assert len({r["raster_id"] for r in run("grid_on_rasters_all")}) > 1
+    assert len(run("is_categorical_all")) == n
+    top = {}
+    values = dict(duck.execute("SELECT vec_id, embedding FROM embeddings").fetchall())
+    for i in sorted(values, key=lambda i: i // 3 % 2):
+        for pos in range(64):
+            if (i + pos) % 17:
+                top[i % 3 + 1, i // 300 * 8 + pos // 8, i // 3 % 100 * 4 + pos % 8] = float(round(values[i][pos] * 100, 0))
+    got = {(r["band"], r["row"], r["col"]): r["value"] for r in run("raster_mosaic_all")}
+    assert got.keys() == top.keys() and all(abs(got[k] - top[k]) <= 1 for k in got) and len(got) > 4 * 64
