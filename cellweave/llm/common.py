@@ -17,7 +17,7 @@ find_words = re.compile(WORD).findall
 
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text, a null as an empty one."""
-    return F.coalesce(F.col(column), F.lit(""))
+    return F.coalesce(F.col(f"`{column}`"), F.lit(""))
 
 
 def word_count(column: Column) -> Column:
