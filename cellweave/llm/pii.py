@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from cellweave.llm.common import map_batches
 from cellweave.session import cut, ship
 
-#: Kinds in the order that ties of start take; the last is what contexts find.
-KINDS = ("email", "ip", "card", "phone", "id")
+#: Kinds in the order that ties of start take; the last two are what contexts find.
+KINDS = ("email", "ip", "card", "phone", "id", "secret")
+BASE_KINDS = KINDS[:4]
 _ORDER = {k: i for i, k in enumerate(KINDS)}
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -22,18 +23,29 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_HINT = re.compile(r"[0-9@]")
+_HINT = re.compile(r"[0-9@=:#]")
 _GAP = re.compile(r"[\x20\x09-\x0D]+")
-_LABELLED = re.compile(r"[^=:#]{2,40}[=:#](?=.)")
-_EDGE = " \t\n\x0b\x0c\r.,;:!?()[]{}<>\"'"
+_EDGE = " \t\n\x0b\x0c\r.,;:!?()[]{}<>\"'`*|"
+_TAIL = _EDGE + "#$%&"
+#: A label at the beginning of a word (``password=``), and one that ends a text (``token = "``).
+_INNER = re.compile(r"""["'(\[{<]*([^\W\d_][\w.-]{1,39})["']?[=:#]+(?!//)["'(\[]*(?=[^\s=:#])""")
+_BEFORE = re.compile(r"""([^\W\d_][\w.-]{1,39})["']?[ \t]*[=:#]+[ \t]*["'(\[]*\Z""")
+#: A random-looking word: letters and digits (and signs of base 64), 16 or more of them.
+_RANDOM = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}\Z")
+_TURN = re.compile(r"[A-Za-z][0-9]|[0-9][A-Za-z]")
+#: Beginnings that name a kind of key: a word and a sign, or capitals that are no hexadecimal digits, before capitals and digits.
+_PREFIX = re.compile(r"[A-Za-z]{2,8}[_-]|(?![A-F]{4})[A-Z]{4}(?=[A-Z0-9]{12,}\Z)")
+_CLOSING = re.compile(r"[\"'<>|]")
 
 #: The confidence and the distinct good instances that a pattern needs.
 CONFIDENCE, SUPPORT = 0.8, 5
 #: Scoring ends when no accepted pattern's score rises by more in a round.
 STILL = 1e-6
-#: Least characters and digits of an unseen identifier.
-LEAST_CHARS, LEAST_DIGITS = 6, 2
-#: Accepted patterns in one broadcast; more go in further ones, looked up one after the other.
+#: Least characters and digits of an unseen identifier without a label; least characters of one with a label.
+LEAST_CHARS, LEAST_DIGITS, LEAST_LABELLED = 6, 2, 3
+#: Changes between letters and digits that make a word random-looking.
+LEAST_TURNS = 3
+#: Accepted patterns that are broadcast; a longer table of patterns is joined instead.
 PATTERNS_PER_BROADCAST = 200_000
 
 
@@ -84,80 +96,127 @@ def _norm(word: str) -> str:
 def _clean_edges(text: str, a: int, b: int) -> tuple[int, int]:
     while a < b and text[a] in _EDGE:
         a += 1
-    while b > a and text[b - 1] in _EDGE:
+    if closing := _CLOSING.search(text, a, b):
+        b = closing.start()
+    while b > a and text[b - 1] in _TAIL:
         b -= 1
     return a, b
 
 
-def mentions(text: str | None, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, list[str], bool]]:
-    """Words that look like identifiers and the base spans: start, end, lexical patterns, whether it is a seed.
+def looks_random(word: str) -> bool:
+    """Whether a word looks like a key or a digest: long, of letters and digits that change often."""
+    return len(word) >= 16 and bool(_RANDOM.match(word)) and len(_TURN.findall(word)) + len(_TURN.findall(word, 1)) >= LEAST_TURNS
 
-    Patterns are a label in the word itself (``password=``), a label before it (``email:``),
-    and a frame of two words before and one after.
+
+def _candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, bool]]:
+    """Start and end of words that may be identifiers, and whether a label comes before.
+
+    They stand outside of the base spans, or are random-looking words that hold one (digits in a key).
     """
-    if not text:
-        return
-    places, covered = [(a, b, True) for _, a, b in base], 0
-    at = 0
+    covered, at, last = 0, 0, -1
     while hint := _HINT.search(text, at):
         a = hint.start()
-        while a > 0 and text[a - 1] not in " \t\n\x0b\x0c\r":
+        while a > at and text[a - 1] not in " \t\n\x0b\x0c\r":
             a -= 1
         gap = _GAP.search(text, hint.end())
-        b = gap.start() if gap else len(text)
-        at = b
-        if label := _LABELLED.match(text, a, b):
-            a = label.end()
-        a, b = _clean_edges(text, a, b)
-        while covered < len(base) and base[covered][2] <= a:
-            covered += 1
-        if covered < len(base) and base[covered][1] < b:
-            continue
-        if b - a >= LEAST_CHARS and sum(map(str.isdigit, text[a:b])) >= LEAST_DIGITS:
-            places.append((a, b, False))
-    for a, b, seed in places:
-        before = text[max(0, a - 120) : a]
+        at = b = gap.start() if gap else len(text)
+        places = [(a, b, False)]
+        if label := _INNER.match(text, a, b):
+            places = [(label.end(), b, True)]
+        elif gap and text[b - 1] in "=:#":  # the value is the next word
+            after = _GAP.search(text, gap.end())
+            places.append((gap.end(), after.start() if after else len(text), True))
+        for a, b, labelled in places:
+            a, b = _clean_edges(text, a, b)
+            if a <= last or not labelled and (b - a < LEAST_CHARS or len(_DIGIT.findall(text, a, b)) < LEAST_DIGITS) or b - a < LEAST_LABELLED:
+                continue
+            while covered < len(base) and base[covered][2] <= a:
+                covered += 1
+            over = [s for s in base[covered : covered + 8] if s[1] < b and s[2] > a]
+            if over and not (looks_random(text[a:b]) and all(a <= s[1] and s[2] <= b and s[2] - s[1] < b - a for s in over)):
+                continue
+            last = a
+            yield a, b, labelled
+
+
+def _patterns(text: str, a: int, b: int) -> list[str]:
+    """Lexical patterns of a place: its label (L), its literal beginning (P), and frames of words (F, B, A)."""
+    before, out = text[max(0, a - 120) : a], []
+    if label := _BEFORE.search(before[-60:]):
+        out.append(f"L {_norm(label[1])}")
+    if looks_random(text[a:b]) and (prefix := _PREFIX.match(text[a:b])):
+        out.append(f"P {prefix[0]} {(b - a).bit_length()}")
+    if not out and (not before or before[-1].isspace()):
         words = before.split()
-        glued = bool(before) and not before[-1].isspace()
-        patterns = []
-        if words and words[-1][-1] in "=:#":
-            patterns.append(f"L {_norm(words[-1])}")
-        elif len(words) >= 2 and not glued:
-            after = text[b : b + 60].lstrip(_EDGE).split(None, 1)
-            if after:
-                patterns.append(f"F {_norm(words[-2])} {_norm(words[-1])} _ {_norm(after[0].rstrip(_EDGE))}")
-        if patterns:
-            yield a, b, patterns, seed
+        if a <= 120:
+            words = ["^", "^", *words]
+        after = [w.rstrip(_EDGE) or "," for w in text[b : b + 60].lstrip(_EDGE).split(None, 2)[:2]]
+        if b + 60 >= len(text):
+            after += ["$", "$"]
+        words, after = [_norm(w) for w in words[-2:]], [_norm(w) for w in after[:2]]
+        if len(words) == 2 and after:
+            out.append(f"F {words[0]} {words[1]} _ {after[0]}")
+        if len(words) == 2 and words[1] != "^":
+            out.append(f"B {words[0]} {words[1]} _")
+        if len(after) == 2 and after[0] != "$":
+            out.append(f"A _ {after[0]} {after[1]}")
+    return out
+
+
+def mentions(text: str | None, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, list[str], str]]:
+    """Base spans and words that may be identifiers: start, end, lexical patterns, kind of seed ("" for none).
+
+    Base spans are seeds, and so are random-looking words (``secret``). A word after a label
+    (``password=``, ``token = "``, ``contact:``) is one of any form; without a label it needs
+    ``LEAST_CHARS`` characters with ``LEAST_DIGITS`` digits. Patterns are the label, or frames: two words
+    before and one after, two before, two after, where ``^`` and ``$`` are the ends of the text. A
+    random-looking word has its literal beginning, with its length up to a factor of two, too.
+    """
+    if not text:
+        return
+    for kind, a, b in base:
+        if patterns := _patterns(text, a, b):
+            yield a, b, patterns, kind
+    for a, b, _ in _candidates(text, base):
+        if patterns := _patterns(text, a, b):
+            yield a, b, patterns, "secret" if looks_random(text[a:b]) else ""
+
+
+def _instance(text: str) -> str:
+    return hashlib.blake2b(text.lower().encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
 
 
 def learn_patterns(docs: DataFrame, text: str = "text", rounds: int | None = None, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
-    """High-confidence lexical patterns: ``pattern``, ``score``, ``n_good``.
+    """High-confidence lexical patterns: ``pattern``, ``score``, ``n_good``, ``kind``.
 
     The graph has an edge for each pattern and instance that occur together anywhere in the
     corpus. Seeds score 1. In each round a pattern scores the mean of its instances (with one
     bad one added), and an instance the chance that any of its confident patterns is right.
     Discovered instances count as seeds do, so a pattern may have no seed of its own. Scores
     never fall, and rounds go on until they stand still (or ``rounds`` are done). Patterns with
-    fewer than ``support`` instances can't be accepted, and their edges are left out.
+    fewer than ``support`` instances can't be accepted, and their edges are left out. ``kind``, of
+    what a pattern discovers, is ``secret`` if most of its seeds are random-looking words, else ``id``.
     Edges are made distinct by partial aggregation first, so a pattern or an instance that is
-    very frequent gives one row to each task. Null and empty texts give no edges.
+    very frequent gives one row to each task. Instances go by digest, so the graph holds no
+    personal data. Null and empty texts give no edges.
     """
     narrow = docs.select(F.col(f"`{text}`").alias("t"))
 
     def run(batch):
-        seen: dict[tuple[str, str], bool] = {}
+        seen: dict[tuple[str, str], int] = {}
         for t in batch.column("t").to_pylist():
             if t and _HINT.search(t):
                 for a, b, patterns, seed in mentions(t, base_spans(t)):
+                    instance, rank = _instance(t[a:b]), 0 if not seed else 1 if seed == "secret" else 2
                     for p in patterns:
-                        k = (p, t[a:b].lower()[:80])
-                        seen[k] = seen.get(k, False) or seed
+                        seen[p, instance] = max(seen.get((p, instance), 0), rank)
         return {"pattern": [p for p, _ in seen], "instance": [i for _, i in seen], "seed": list(seen.values())}
 
-    edges = map_batches(narrow, run, "pattern string, instance string, seed boolean")
+    edges = map_batches(narrow, run, "pattern string, instance string, seed int")
     edges = cut(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
-    enough = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= support)
-    edges = cut(edges.join(enough.select("pattern"), "pattern", "left_semi"))
+    enough = edges.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if(F.col("seed") == 1).alias("s"), F.count_if(F.col("seed") == 2).alias("b")).where(F.col("n") >= support)
+    enough = cut(enough.select("pattern", F.when(F.col("s") > F.col("b"), "secret").otherwise("id").alias("kind")))
+    edges = cut(edges.join(enough.select("pattern"), "pattern", "left_semi").withColumn("seed", F.col("seed") > 0))
     scored, before, r = edges.withColumn("score", F.col("seed").cast("double")), None, 0
     while True:
         patterns = scored.groupBy("pattern").agg((F.sum("score") / (F.count("*") + 1)).alias("score"), F.sum((F.col("score") >= 0.5).cast("long")).alias("n_good"))
@@ -167,7 +226,7 @@ def learn_patterns(docs: DataFrame, text: str = "text", rounds: int | None = Non
             rise = rise.join(before.select("pattern", F.col("score").alias("old")), "pattern", "left").select((F.col("score") - F.coalesce("old", F.lit(0.0))).alias("score"))
         r += 1
         if r == rounds or rise.where(F.col("score") > STILL).isEmpty():
-            return good
+            return good.join(enough, "pattern")
         before = good
         doubt = edges.join(good, "pattern").groupBy("instance").agg(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))).alias("doubt"))
         scored = edges.join(doubt, "instance", "left").select(
@@ -175,19 +234,49 @@ def learn_patterns(docs: DataFrame, text: str = "text", rounds: int | None = Non
         )
 
 
-def _extra(text: str, base: list[tuple[str, int, int]], accepted) -> list[tuple[str, int, int]]:
-    return [("id", a, b) for a, b, patterns, seed in mentions(text, base) if not seed and any(p in s for p in patterns for s in accepted)]
+def _extra(text: str, base: list[tuple[str, int, int]], accepted: dict[str, str]) -> list[tuple[str, int, int]]:
+    """Spans that accepted patterns discover; ``secret`` goes before ``id`` where patterns disagree."""
+    out = []
+    for a, b, _ in _candidates(text, base):
+        kinds = {accepted[p] for p in _patterns(text, a, b) if p in accepted}
+        if kinds:
+            out.append((max(kinds), a, b))
+    return out
+
+
+def _with_extras(docs: DataFrame, patterns: DataFrame, text: str):
+    """``docs``, the name of a column with discovered spans (or None), and a broadcast of the patterns (or None).
+
+    Up to ``PATTERNS_PER_BROADCAST`` patterns are broadcast and looked up with the texts. A longer
+    table is joined: distinct texts give their candidates, these meet the patterns, and the
+    spans come back to the texts by their digest. Both ways find the same spans.
+    """
+    spark = docs.sparkSession
+    if patterns.count() <= PATTERNS_PER_BROADCAST:
+        return docs, None, spark.sparkContext.broadcast({r["pattern"]: r["kind"] for r in patterns.select("pattern", "kind").toLocalIterator()})
+
+    def run(batch):
+        out: dict[str, list] = {"d": [], "a": [], "b": [], "pattern": []}
+        for t in batch.column("t").to_pylist():
+            if t and _HINT.search(t):
+                digest = hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest()
+                for a, b, _ in _candidates(t, base_spans(t)):
+                    for p in _patterns(t, a, b):
+                        for name, value in (("d", digest), ("a", a), ("b", b), ("pattern", p)):
+                            out[name].append(value)
+        return out
+
+    places = map_batches(docs.select(F.col(f"`{text}`").alias("t")), run, "d string, a int, b int, pattern string").distinct()
+    found = places.join(patterns.select("pattern", "kind"), "pattern").groupBy("d", "a", "b").agg(F.max("kind").alias("kind"))
+    spelled = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "kind", "a", "b"))), ",")
+    found = cut(found.groupBy("d").agg(spelled.alias("__cw_spans")).withColumnRenamed("d", "__cw_digest"))
+    with_digest = docs.withColumn("__cw_digest", F.sha2(F.col(f"`{text}`").cast("binary"), 256))
+    return with_digest.join(found, "__cw_digest", "left").drop("__cw_digest"), "__cw_spans", None
 
 
-def _broadcasts(spark, patterns: DataFrame) -> list:
-    """The accepted patterns as sets of bounded size."""
-    rows, out = [], []
-    for r in patterns.select("pattern").toLocalIterator():
-        rows.append(r[0])
-        if len(rows) >= PATTERNS_PER_BROADCAST:
-            out.append(spark.sparkContext.broadcast(frozenset(rows)))
-            rows = []
-    return [*out, spark.sparkContext.broadcast(frozenset(rows))]
+def _read_spans(spelled: str | None) -> list[tuple[str, int, int]]:
+    parts = (s.split(":") for s in spelled.split(",")) if spelled else ()
+    return [(k, int(a), int(b)) for k, a, b in parts]
 
 
 def _spelled(spans: list[tuple[str, int, int]]) -> str:
@@ -195,32 +284,35 @@ def _spelled(spans: list[tuple[str, int, int]]) -> str:
 
 
 def find_pii(docs: DataFrame, patterns: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each document: counts of the base kinds and of ``id``, ``base_sha256`` and ``spans``.
+    """One row for each document: counts of all kinds, ``base_sha256``, ``spans`` and ``n_found`` (of all spans).
 
     ``patterns`` come from ``learn_patterns``, by default over the same documents. Spans are
     code points, end exclusive, written ``kind:start:end`` by start, then kind. A null or an
     empty text has no spans, and the hash of an empty string. Repeated rows give repeated
-    results, null keys stay. Two passes over the texts, no shuffle of them.
+    results, null keys stay. Two passes over the texts, no shuffle of them unless the patterns
+    are too many to broadcast.
     """
     ship(docs.sparkSession)
     patterns = learn_patterns(docs, text) if patterns is None else patterns
-    held = _broadcasts(docs.sparkSession, patterns)
     narrow = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     kind = dict(narrow.dtypes)["k"]
+    narrow, spans, held = _with_extras(narrow, patterns, "t")
 
     def run(batch):
-        accepted = [b.value for b in held]
-        out: dict[str, list] = {n: [] for n in (*[f"n_{k}" for k in KINDS], "base_sha256", "spans")}
-        for t in batch.column("t").to_pylist():
+        accepted = held.value if held else {}
+        given = batch.column(spans).to_pylist() if spans else [None] * batch.num_rows
+        out: dict[str, list] = {n: [] for n in (*[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_found")}
+        for t, more in zip(batch.column("t").to_pylist(), given, strict=True):
             base = base_spans(t)
-            extra = _extra(t, base, accepted) if t and any(accepted) else []
+            extra = _read_spans(more) if spans else _extra(t, base, accepted) if t and accepted else []
             for k in KINDS:
                 out[f"n_{k}"].append(sum(s[0] == k for s in [*base, *extra]))
             out["base_sha256"].append(hashlib.sha256(_spelled(base).encode()).hexdigest())
             out["spans"].append(_spelled(sorted([*base, *extra], key=lambda s: (s[1], _ORDER[s[0]]))))
+            out["n_found"].append(len(base) + len(extra))
         return out | {"k": batch.column("k")}
 
-    schema = f"k {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string"
+    schema = f"k {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_found long"
     return map_batches(narrow, run, schema).withColumnRenamed("k", key)
 
 
@@ -241,20 +333,20 @@ def redact(docs: DataFrame, patterns: DataFrame | None = None, text: str = "text
     """The documents with every span replaced by its kind; null texts stay null, other columns as they are."""
     ship(docs.sparkSession)
     patterns = learn_patterns(docs, text) if patterns is None else patterns
-    held = _broadcasts(docs.sparkSession, patterns)
+    ready, spans, held = _with_extras(docs, patterns, text)
 
     @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        accepted = [b.value for b in held]
+    def clean(texts: pd.Series, more: pd.Series) -> pd.Series:
+        accepted = held.value if held else {}
 
-        def one(t):
+        def one(t, given):
             if not isinstance(t, str) or not _HINT.search(t):
                 return t
             base = base_spans(t)
-            extra = _extra(t, base, accepted) if any(accepted) else []
+            extra = _read_spans(given if isinstance(given, str) else None) if spans else _extra(t, base, accepted) if accepted else []
             return redact_text(t, [*base, *extra]) if base or extra else t
 
-        return texts.map(one)
+        return pd.Series([one(t, given) for t, given in zip(texts, more, strict=True)], dtype=object)
 
-    done: Column = clean(F.col(f"`{text}`"))
-    return docs.withColumn(text, done)
+    done: Column = clean(F.col(f"`{text}`"), F.col(spans) if spans else F.lit(None).cast("string"))
+    return ready.withColumn(text, done).select(*[F.col(f"`{c}`") for c in docs.columns])
