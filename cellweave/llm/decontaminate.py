@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import find_words, map_batches
+from cellweave.llm.common import find_words, map_batches, word_count
 from cellweave.session import ship
 
 #: Text of the items in one broadcast index; a larger benchmark is searched in more passes.
@@ -34,6 +33,10 @@ def _order(shingle: tuple[str, ...]) -> bytes:
 class ContainmentIndex:
     """Items in partitions by size; each keeps the smallest hashes of its shingles as a sketch.
 
+    A document's shingles are looked up in the sketches, and only the items found there are
+    counted, over all of their shingles. An item of fewer than ``width`` words is one shingle of
+    all its words, which is looked up among a document's runs of as many words.
+
     Of an item with n shingles a document that contains a share t may miss (1 - t) n. In the
     partition of sizes up to u, sketches hold floor((1 - t) u) + 1 minima, so at least one of
     them is in every such document: the search has no false negatives, and the sizes are
@@ -44,14 +47,14 @@ class ContainmentIndex:
     share: float
     vocabulary: dict[str, int]
     sketch: dict[tuple[int, ...], list[int]]
-    members: dict[tuple[int, ...], list[int]]
+    members: dict[int, list[tuple[int, ...]]]
     needed: dict[int, int]
-    size: dict[int, int]
+    widths: list[int] = field(default_factory=list)
 
     @classmethod
     def build(cls, items: list[tuple[int, str]], width: int, share: float) -> ContainmentIndex:
         vocabulary: dict[str, int] = {}
-        index = cls(width, share, vocabulary, {}, {}, {}, {})
+        index = cls(width, share, vocabulary, {}, {}, {})
         for item, text in items:
             own = shingles(find_words(text or ""), width)
             if not own:
@@ -61,37 +64,38 @@ class ContainmentIndex:
             coded = [tuple(vocabulary.setdefault(w, len(vocabulary)) for w in s) for s in sorted(own, key=_order)]
             for s in coded[:minima]:
                 index.sketch.setdefault(s, []).append(item)
-            for s in coded:
-                index.members.setdefault(s, []).append(item)
-            index.size[item] = len(own)
+            index.members[item] = coded
             index.needed[item] = math.ceil(share * len(own) - 1e-9)
+        index.widths = sorted({len(s) for s in index.sketch})
         return index
 
+    def _windows(self, ids: list[int | None]):
+        """Runs of words that are all known, of the widths that items have: ``width`` words, fewer for shorter items."""
+        for n in self.widths:
+            run = 0
+            for i, x in enumerate(ids):
+                run = 0 if x is None else run + 1
+                if run >= n:
+                    yield tuple(ids[i - n + 1 : i + 1])
+
     def search(self, text: str | None) -> list[tuple[int, float]]:
         """Items of which the text contains at least the share, with their exact containment."""
-        words = find_words(text) if text else []
-        ids = list(map(self.vocabulary.get, words))
-        width, found, candidates = self.width, set(), set()
-        lengths = {len(s) for s in self.sketch} if len(words) < width else {width}
-        for n in lengths:
-            if n == width or n == len(words):
-                run = 0
-                for i, x in enumerate(ids):
-                    run = 0 if x is None else run + 1
-                    if run >= n:
-                        s = tuple(ids[i - n + 1 : i + 1])
-                        if s in self.members:
-                            found.add(s)
-                            candidates.update(self.sketch.get(s, ()))
+        ids = list(map(self.vocabulary.get, find_words(text))) if text else []
+        candidates: set[int] = set()
+        for window in self._windows(ids):
+            if window in self.sketch:
+                candidates.update(self.sketch[window])
         if not candidates:
             return []
-        hits = Counter(item for s in found for item in self.members[s] if item in candidates)
-        return sorted((item, hits[item] / self.size[item]) for item in candidates if hits[item] >= self.needed[item])
+        own = set(self._windows(ids))
+        hits = {item: sum(s in own for s in self.members[item]) for item in candidates}
+        return sorted((item, n / len(self.members[item])) for item, n in hits.items() if n >= self.needed[item])
 
 
-def _shards(items: DataFrame, key: str, text: str):
+def _shards(items: DataFrame, key: str, text: str, least_words: int = 1):
     """Items in broadcast-sized lists; the number of lists follows from the measured size of the table."""
     narrow = items.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).where(F.col("k").isNotNull())
+    narrow = narrow.where(word_count(F.col("t")) >= least_words)
     n = narrow.agg(F.sum(F.length("t"))).head()[0] or 0
     count = max(1, math.ceil(1.25 * n / INDEX_CHARS))
     for i in range(count):
@@ -101,13 +105,14 @@ def _shards(items: DataFrame, key: str, text: str):
 
 
 def find_contaminated(
-    docs: DataFrame, items: DataFrame, width: int = 5, share: float = 0.8, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text"
+    docs: DataFrame, items: DataFrame, width: int = 5, share: float = 0.8, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", least_words: int = 1
 ) -> DataFrame:
     """One row for each document that contains items: the key, ``items`` (sorted ids) and ``containment`` (the largest).
 
     Words are runs without ASCII white space, compared as they are; a shingle is five of
-    them. An item with fewer words is one shingle, which only a text of just these words
-    has. Null and empty texts contain nothing and are contained in nothing; items with a null
+    them. An item with fewer words is contained in every document that has these words one
+    after the other; ``least_words`` leaves out items that are too short to tell anything (by
+    default none). Null and empty texts contain nothing and are contained in nothing; items with a null
     key are ignored; several texts of one item key are several items. Repeated documents
     give repeated rows. Whole documents are read, in one pass without a shuffle for each
     ``INDEX_CHARS`` of items, and each task holds one such index. After several passes the
@@ -117,7 +122,7 @@ def find_contaminated(
     narrow = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     kind, item_kind = dict(narrow.dtypes)["k"], dict(items.dtypes)[item_key]
     parts = []
-    for rows in _shards(items, item_key, item_text):
+    for rows in _shards(items, item_key, item_text, least_words):
         names = dict(enumerate(k for k, _ in rows))
         index = ContainmentIndex.build([(i, t) for i, (_, t) in enumerate(rows)], width, share)
         held = docs.sparkSession.sparkContext.broadcast((index, names))
@@ -156,7 +161,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", te
     ship(docs.sparkSession)
     width, share = options.get("width", 5), options.get("share", 0.8)
     kept = docs
-    for rows in _shards(items, options.get("item_key", "item_id"), options.get("item_text", "text")):
+    for rows in _shards(items, options.get("item_key", "item_id"), options.get("item_text", "text"), options.get("least_words", 1)):
         index = ContainmentIndex.build([(i, t) for i, (_, t) in enumerate(rows)], width, share)
         held = docs.sparkSession.sparkContext.broadcast(index)
 
