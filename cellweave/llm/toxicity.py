@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import map_batches
-from cellweave.session import ship
+from cellweave.session import cut, ship
 
 #: Labelled documents that the model is fitted on, at most: those with the smallest hashes of their keys.
 MAX_LABELLED = 20_000
@@ -112,14 +112,19 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, n_cols: int, grade: np.ndarr
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_labelled: int = MAX_LABELLED) -> OrdinalModel:
-    """A model of severity from 0/1 labels: 0 clean, 1 toxic, 2 toxic with more than the usual evidence.
-
-    Of a toxic document the grade is 2 if it has at least the median number (over toxic
-    documents of the sample) of features that mark toxicity, else 1. Only documents with a
-    key and a label count; if labels of a key differ, the highest holds. The sample is
-    bounded by ``max_labelled``, so its keys may be broadcast; what comes to the driver
-    are the sample's counts of marked features. No labels, or none of either class, give a
-    model that finds nothing toxic.
+    """A model of severity from labels: 0 clean, 1 toxic, 2 severe.
+
+    Labels with grades above 1 are taken as they are. Labels of 0 and 1 say nothing of severity,
+    so the amount of evidence stands for it: a toxic document has grade 2 if it has at least the
+    median number (over toxic documents of the sample) of features that mark toxicity. These
+    are features of the model too, so the second threshold then grades the amount of toxic
+    wording, not a judgement of its own; ``toxic`` depends on the first threshold only.
+
+    Only documents with a key and a label count; if labels of a key differ, the highest holds.
+    The sample has at most ``max_labelled`` keys and one text for each (of several texts of a
+    key that with the smallest hash), so it is bounded whatever the tables hold; it is stored
+    once, and its counts of marked features come to the driver. No labels, or none of either
+    class, give a model that finds nothing toxic.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -129,7 +134,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         .groupBy("k").agg(F.max("y").alias("y"))
         .orderBy(F.xxhash64("k"), "k").limit(max_labelled)
     )
-    sample = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).join(F.broadcast(chosen), "k").where(F.col("t").isNotNull())
+    found = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).join(F.broadcast(chosen), "k").where(F.col("t").isNotNull())
+    one = F.min_by("t", F.struct(F.xxhash64("t"), F.col("t"))).alias("t")
+    sample = cut(found.groupBy("k").agg(F.max("y").alias("y"), one))
 
     def marks(batch):
         counts: dict[str, list[int]] = {}
@@ -160,10 +167,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
     data = map_batches(sample, rows, "y int, x array<int>").toPandas()
     order = sorted(range(len(data)), key=lambda i: (data.y[i], list(data.x[i])))  # the fit doesn't depend on the order of rows
-    ys, xs = np.array([min(1, data.y[i]) for i in order]), [np.asarray(data.x[i], dtype=np.int64) for i in order]
+    ys, xs = np.array([int(data.y[i] > 0) for i in order]), [np.asarray(data.x[i], dtype=np.int64) for i in order]
     sizes = np.array([len(x) for x in xs])
     typical = max(1.0, float(np.median(sizes[ys > 0])))
-    grade = np.where(ys > 0, 1 + (sizes >= typical), 0)
+    given = np.array([data.y[i] for i in order])
+    grade = np.minimum(np.maximum(given, 0), GRADES - 1) if given.max() > 1 else np.where(ys > 0, 1 + (sizes >= typical), 0)
     flat = np.concatenate(xs) if sizes.sum() else np.zeros(0, dtype=np.int64)
     w, cuts = fit_ordinal(np.repeat(np.arange(len(xs)), sizes), flat, max(1, len(place)), grade)
     names = list(place)
