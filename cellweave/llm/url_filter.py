@@ -40,10 +40,11 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 @dataclass
 class _PathNode:
-    """After whole segments: rules that end inside the next segment, by that beginning."""
+    """After whole segments: rules that end inside the next segment, by that beginning; its lengths, longest first."""
 
     below: dict[str, _PathNode] = field(default_factory=dict)
     ends: dict[str, Rule] = field(default_factory=dict)
+    lengths: list[int] = field(default_factory=list)
 
 
 @dataclass
@@ -70,6 +71,8 @@ class UrlTrie:
             known = place.ends.get(rest)
             if known is None or rule.action == "block":
                 place.ends[rest] = rule
+            if len(rest) not in place.lengths:
+                place.lengths = sorted([*place.lengths, len(rest)], reverse=True)
 
     def match(self, host: str, path: str) -> Rule | None:
         best, node = None, self.root
@@ -86,9 +89,10 @@ class UrlTrie:
     def _path(node: _PathNode, segments: list[str]) -> Rule | None:
         found = None
         for segment in segments:
-            for rest, rule in node.ends.items():
-                if segment.startswith(rest) and (found is None or len(rule.path) > len(found.path)):
-                    found = rule
+            for n in node.lengths:
+                if n <= len(segment) and (rule := node.ends.get(segment[:n])):
+                    found = rule  # longer than those of the segments before
+                    break
             node = node.below.get(segment)
             if node is None:
                 break
