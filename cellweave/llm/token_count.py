@@ -15,6 +15,8 @@ from cellweave.llm.common import map_batches, without
 
 #: Entries of a worker's cache of counted pieces; it is emptied when full.
 CACHE = 400_000
+#: Symbols of a vocabulary: two of them are packed with their rank into one integer.
+_MOST_SYMBOLS = 1 << 20
 #: The white space of Unicode, and the byte-level splitting pattern.
 _SPACE = "\t-\r \x85\xa0  -     　"
 PATTERN = (
@@ -29,12 +31,43 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+def _steps(spec: dict | None, name: str) -> list[dict]:
+    """The steps of a normalizer, a pre-tokenizer or the like, whether one or a sequence."""
+    if not spec:
+        return []
+    return [y for x in spec[name] for y in _steps(x, name)] if spec.get("type") == "Sequence" else [spec]
+
+
+def check_supported(spec: dict) -> None:
+    """Refuse files that ask for anything but plain byte-level merging, rather than miscount."""
+    model = spec.get("model", {})
+    faults = []
+    if model.get("type") not in (None, "BPE") or "merges" not in model:
+        faults.append("its model isn't BPE")
+    if any(model.get(k) for k in ("dropout", "byte_fallback", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+        faults.append("its model has options beyond merges")
+    if len(model.get("vocab", ())) > _MOST_SYMBOLS:
+        faults.append(f"it has more than {_MOST_SYMBOLS} symbols")
+    if _steps(spec.get("normalizer"), "normalizers"):
+        faults.append("it has a normalizer")
+    steps = _steps(spec.get("pre_tokenizer"), "pretokenizers")
+    if [x.get("type") for x in steps] != ["ByteLevel"] or steps[0].get("add_prefix_space") or not steps[0].get("use_regex", True):
+        faults.append("its pre-tokenizer isn't the byte-level one without a leading space")
+    if any(t.get(k) for t in spec.get("added_tokens", ()) for k in ("single_word", "lstrip", "rstrip")):
+        faults.append("its added tokens take white space or whole words only")
+    if any(not t.get("special") and t.get("normalized") is None for t in spec.get("added_tokens", ())):
+        faults.append("its added tokens don't say how they are found")
+    if faults:
+        raise ValueError("this tokenizer file isn't supported: " + "; ".join(faults))
+
+
 class BpeCounter:
-    """Counts the tokens that a byte-level BPE tokenizer file gives a text."""
+    """Counts the tokens that a byte-level BPE tokenizer file gives a text; other files are refused."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        check_supported(spec)
         byte_of = _byte_letters()
         vocab = spec["model"]["vocab"]
         self.symbol = [0] * 256
