@@ -5,7 +5,8 @@ of paths: from a path, each minimum is chosen with chance 1 / (similarity * COOR
 sets at the threshold share one child on average and unlike ones hardly any. A bucket (all
 sets at one path) of up to ``SMALL`` sets is compared in full; a larger one is split again, up
 to ``DEPTH`` times, and what is then still large is compared in blocks. ``runs_for`` gives the
-number of runs that reaches the target recall at the greatest depth.
+number of runs that reaches the target recall at the greatest depth, with all that can lose a
+pair: the paths, that all runs share one set of minima, and the least agreement of likely pairs.
 
 A pair may meet in many buckets. Sets carry the list of their final buckets, and a pair counts
 only in the first one it has in common, so links are counted once without listing pairs.
@@ -43,12 +44,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def runs_for(recall: float = RECALL, depth: int = DEPTH) -> int:
-    """Runs after which a pair at the threshold has met with chance ``recall``, though its path is ``depth`` long."""
-    survive = 1.0
-    for _ in range(depth):
-        survive = 1 - math.exp(-survive)
-    return math.ceil(math.log(1 - recall) / math.log(1 - survive))
+def least_agreement(similarity: float) -> float:
+    """Minima that a pair must share to have its sets compared: five standard deviations below what is expected."""
+    return COORDINATES * similarity - 5 * math.sqrt(COORDINATES * similarity * (1 - similarity))
+
+
+def chance_lost(runs: int, depth: int, similarity: float) -> float:
+    """The chance that a pair at the threshold isn't found, though its buckets are split ``depth`` times.
+
+    Given the number x of minima in which the pair agrees, each of them is chosen with chance
+    1 / (similarity * COORDINATES) from a path, so a run is a branching process of ``depth`` steps.
+    """
+    pick, least, lost = 1 / (similarity * COORDINATES), least_agreement(similarity), 0.0
+    for x in range(COORDINATES + 1):
+        chance = math.comb(COORDINATES, x) * similarity**x * (1 - similarity) ** (COORDINATES - x)
+        meets = 1.0
+        for _ in range(depth):
+            meets = 1 - (1 - pick * meets) ** x
+        lost += chance if x < least else chance * (1 - meets) ** runs
+    return lost
+
+
+def runs_for(recall: float = RECALL, depth: int = DEPTH, similarity: float = 0.8) -> int:
+    """The least number of runs that finds a pair at the threshold with chance ``recall``."""
+    floor = chance_lost(10_000, depth, similarity)
+    if floor > 1 - recall:
+        raise ValueError(f"{COORDINATES} minima can't reach a recall of {recall}: {floor:.1e} of pairs agree in too few")
+    return next(n for n in range(1, 10_001) if chance_lost(n, depth, similarity) <= 1 - recall)
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -209,28 +231,23 @@ def _dealt(placed: DataFrame) -> DataFrame:
     return spread.withColumns({"x": F.least("z", "o"), "y": F.greatest("z", "o")}).drop("q", "o")
 
 
-def _short(paths: DataFrame) -> DataFrame:
-    """The final buckets of each node as sorted 32-bit names, and each bucket's own name ``f``."""
-    return paths.withColumn("f", F.hash("p"))
-
-
 def _first_in_common(mine: list[int], other: frozenset, here: int) -> bool:
     return next(x for x in mine if x in other) == here
 
 
 def _similar_nodes(placed: DataFrame, similarity: float) -> DataFrame:
     """Rows (bucket and node) that have a likely partner for which this bucket is the first in common."""
-    least = COORDINATES * similarity - 4.75 * math.sqrt(COORDINATES * similarity * (1 - similarity))
+    least = least_agreement(similarity)
     keys = ("p", "x", "y")
-    columns = ["a", "b", "p", "f", "x", "y", "z", "w", "l"]
-    types = _arrow_schema(placed, "a long, b long, p long, f int, x int, y int, z int")
+    columns = ["a", "b", "p", "x", "y", "z", "w", "l"]
+    types = _arrow_schema(placed, "a long, b long, p long, x int, y int, z int")
 
     def run(batches):
         for table, starts in _groups(batches, keys):
             n = table.num_rows
             group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
             signature = _signatures(table.column("w").combine_chunks(), np.uint16)
-            block, name = table.column("z").to_numpy(), table.column("f").to_numpy()
+            block, name = table.column("z").to_numpy(), table.column("p").to_numpy()
             cross = table.column("x").to_numpy() != table.column("y").to_numpy()
             lists = table.column("l").to_pylist()
             sets: list[frozenset | None] = [None] * n
@@ -253,7 +270,7 @@ def _similar_nodes(placed: DataFrame, similarity: float) -> DataFrame:
                 yield from kept.cast(types).to_batches()
 
     ordered = placed.select(columns).repartition("p", "x", "y").sortWithinPartitions(*keys)
-    return ordered.mapInArrow(run, "a long, b long, p long, f int, x int, y int, z int")
+    return ordered.mapInArrow(run, "a long, b long, p long, x int, y int, z int")
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -298,7 +315,7 @@ def _links(wanted: DataFrame, similarity: float) -> DataFrame:
         if part.column("x")[0].as_py() != part.column("y")[0].as_py():
             block = part.column("z").to_numpy()
             linked &= block[:, None] != block[None, :]
-        lists, names = part.column("l").to_pylist(), part.column("f").to_numpy()
+        lists, names = part.column("l").to_pylist(), part.column("p").to_numpy()
         as_sets = [frozenset(x) for x in lists]
         copies, rep = part.column("c").to_numpy(), part.column("r").to_numpy()
         total, root = np.zeros(hi - lo, dtype=np.int64), list(range(hi - lo))
@@ -326,7 +343,7 @@ def _links(wanted: DataFrame, similarity: float) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), type=pa.int64()) for c in zip(*found, strict=True)], schema=types)
 
-    ordered = wanted.select("p", "x", "y", "z", "f", "l", "t", "c", "r").repartition("p", "x", "y").sortWithinPartitions(*keys)
+    ordered = wanted.select("p", "x", "y", "z", "l", "t", "c", "r").repartition("p", "x", "y").sortWithinPartitions(*keys)
     return ordered.mapInArrow(run, "r long, links long, o long")
 
 
@@ -385,13 +402,16 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     """
     spark = docs.sparkSession
     ship(spark)
-    runs = runs_for(recall)
+    kind = dict(docs.select(F.col(f"`{key}`").alias("k")).dtypes)["k"]
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"keys must be whole numbers, and {key!r} is {kind}")
+    runs = runs_for(recall, similarity=similarity)
     rows = cut(sketch(docs, key, text, width))
     rows = rows.withColumn("k", F.col("k").cast("long"))
     solid = rows.where("n > 0")
     nodes = cut(solid.groupBy("a", "b").agg(F.count("*").alias("c"), F.min("k").alias("r"), F.any_value("s").alias("s")))
-    final = _short(buckets(nodes, runs, similarity))
-    lists = final.groupBy("a", "b").agg(F.array_sort(F.collect_set("f")).alias("l"))
+    final = buckets(nodes, runs, similarity)
+    lists = final.groupBy("a", "b").agg(F.array_sort(F.collect_set("p")).alias("l"))
     signed = nodes.select("a", "b", "r", "c", "s")
     small = map_batches(
         signed, lambda batch: {"a": batch.column("a"), "b": batch.column("b"), "w": [x.astype(np.uint16).tobytes() for x in _signatures(batch.column("s"))]}, "a long, b long, w binary"
@@ -409,7 +429,6 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     named = nodes.select("a", "b", "c", "r").join(counted, "r", "left").join(joined.select(F.col("v").alias("r"), "o"), "r", "left")
     named = named.select("a", "b", F.coalesce("o", "r").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("c") - 1).alias("n_links"))
     whole = rows.select("k", "a", "b", "n").join(named, ["a", "b"], "left")
-    kind = dict(docs.dtypes)[key]
     out = whole.select(
         F.col("k").cast(kind).alias(key),
         F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("k")).cast(kind).alias("class_id"),
@@ -423,23 +442,27 @@ def _versions(rows: DataFrame) -> DataFrame:
     """Edges between the representatives of nodes that hold rows of one key."""
     reps = rows.groupBy("a", "b").agg(F.min("k").alias("r"))
     several = rows.groupBy("k").agg(F.min(F.struct("a", "b")).alias("lo"), F.max(F.struct("a", "b")).alias("hi")).where("lo <> hi").select("k")
-    pairs = rows.join(several, "k").select("k", "a", "b").distinct().join(reps, ["a", "b"])
-    return pairs.groupBy("k").agg(F.min("r").alias("u"), F.collect_set("r").alias("rs")).select("u", F.explode("rs").alias("v"))
+    pairs = rows.join(several, "k").select("k", "a", "b").distinct().join(reps, ["a", "b"]).select("k", F.col("r").alias("v"))
+    least = cut(pairs.groupBy("k").agg(F.min("v").alias("u")))  # a plain join side, so a key with very many versions can be split
+    return pairs.join(least, "k").select("u", "v")
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that stay: of each class the one with the smallest key, all rows with a null key, each whole.
 
-    Of rows that repeat a kept key the first by text stays.
+    Of rows that repeat a kept key one stays: the first by text, then by all columns (rows that
+    agree in all are the same row). Columns may have any names.
     """
-    classes = cut(jaccard_join(docs, key, text, **options).where(F.col(f"`{key}`").isNotNull()))
-    gone = classes.where(F.col("class_id") != F.col(key)).select(key).distinct()
-    kept = docs.join(gone, key, "left_anti").select(*docs.columns)
-    repeated = classes.groupBy(key).count().where("count > 1").select(key)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    k = F.col(f"`{key}`")
+    classes = cut(jaccard_join(docs, key, text, **options).select(k.alias("k"), F.col("class_id").alias("c")).where(F.col("k").isNotNull()))
+    gone = classes.where("c <> k").select(F.col("k").alias("__cw_k")).distinct()
+    kept = docs.join(gone, k == F.col("__cw_k"), "left_anti").select(*columns)
+    repeated = cut(classes.groupBy("k").count().where("count > 1").select(F.col("k").alias("__cw_k")))
     if repeated.isEmpty():
         return kept
-    from pyspark.sql import Window
-
-    again = kept.join(repeated, key, "left_semi")
-    first = again.withColumn("__cw_i", F.row_number().over(Window.partitionBy(key).orderBy(text))).where("__cw_i = 1").drop("__cw_i")
-    return kept.join(repeated, key, "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))
+    again = kept.join(repeated, k == F.col("__cw_k"), "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    first = again.groupBy(k.alias("__cw_k")).agg(F.min_by(whole, F.struct(F.col(f"`{text}`"), F.to_json(whole))).alias("r"))
+    first = first.select(*[F.col(f"r.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return kept.join(repeated, k == F.col("__cw_k"), "left_anti").select(*columns).unionByName(first)
