@@ -424,9 +424,9 @@ def format_conversations(turns: DataFrame, template: str = DEFAULT_TEMPLATE, key
     """One row for each conversation: the key, ``n_turns``, ``formatted`` and ``loss_spans``.
 
     Turns come in the order of ``turn`` (nulls first), then role and text, so ties and
-    repeated rows have one order and all stay. Null roles and texts are empty strings; rows
-    with a null key are one conversation with a null key; an empty table gives no rows; other
-    columns are ignored. ``loss_spans`` are [start, end) code points of generations.
+    repeated rows have one order and all stay. Null roles and texts are empty strings; a row
+    with a null key can't be told to belong to another, so it is a conversation of its own, with
+    a null key; an empty table gives no rows; other columns are ignored. ``loss_spans`` are [start, end) code points of generations.
 
     Turns are dealt out by key and sorted by Spark, which spills; a task then renders its
     conversations one after the other, so it holds one conversation, which is one output row.
@@ -437,7 +437,8 @@ def format_conversations(turns: DataFrame, template: str = DEFAULT_TEMPLATE, key
         F.col(f"`{key}`").alias("k"), F.col(f"`{turn}`").alias("n"), F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("r"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")
     )
     kind = dict(narrow.dtypes)["k"]
-    ordered = narrow.repartition("k").sortWithinPartitions("k", "n", "r", "t")
+    alone = F.when(F.col("k").isNull(), F.xxhash64("n", "r", "t"))
+    ordered = narrow.repartition("k", alone).sortWithinPartitions("k", "n", "r", "t")
     schema = f"k {kind}, n_turns long, formatted string, loss_spans array<struct<start:long,end:long>>"
     from cellweave.llm.common import _arrow_schema
 
@@ -456,7 +457,7 @@ def format_conversations(turns: DataFrame, template: str = DEFAULT_TEMPLATE, key
         now, messages, rows, held = None, [], [], 0
         for batch in batches:
             for k, r, t in zip(*(batch.column(c).to_pylist() for c in ("k", "r", "t")), strict=True):
-                if messages and k != now:
+                if messages and (k != now or k is None):
                     rows.append(finish(now, messages))
                     held += len(rows[-1][2])
                     messages = []
