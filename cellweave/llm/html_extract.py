@@ -6,6 +6,7 @@ import html
 import math
 import random
 import re
+from bisect import bisect_right
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -19,11 +20,13 @@ from cellweave.session import ship
 # Element names of HTML by how they parse.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
-SILENT = frozenset("script style template noscript iframe svg math object audio video canvas select option textarea button title".split())
+SILENT = frozenset("script style template noscript iframe svg audio video canvas select option textarea button title".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template".split())
 RAW = frozenset("script style textarea title iframe noscript template".split())
 #: A start tag ends these open elements, up to the nearest of the second set.
 _BLOCK_ENDS_P = frozenset("address article aside blockquote center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table tbody td tfoot th thead tr ul body".split())
-_ENDS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
+_ENDS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
+_ENDS = {name: (ends.split(), stops.split()) for name, (ends, stops) in _ENDS.items()}
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"<]*+\"|'[^'<]*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.DOTALL
 )
@@ -78,12 +81,46 @@ class Dom:
         return len(self.tag) - 1
 
 
+class _Stack:
+    """Open elements, and where each name is open, so that no tag has to search the stack.
+
+    An entry is a name, its node (that of the nearest block ancestor for inline ones) and the
+    place of the nearest entry that is not inline.
+    """
+
+    def __init__(self) -> None:
+        self.items: list[tuple[str, int, int]] = [("#root", 0, 0)]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, name: str, node: int) -> None:
+        at = len(self.items)
+        self.places.setdefault(name, []).append(at)
+        self.items.append((name, node, self.items[-1][2] if name in INLINE else at))
+
+    def pop(self) -> str:
+        name = self.items.pop()[0]
+        self.places[name].pop()
+        return name
+
+    def last(self, names) -> int:
+        """The place of the innermost open element of these names, 0 if none is open."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def first_above(self, names, place: int) -> int:
+        """The place of the outermost one of these names inside of ``place``, 0 if there is none."""
+        found = [at[i] for n in names if (at := self.places.get(n)) and (i := bisect_right(at, place)) < len(at)]
+        return min(found, default=0)
+
+
 def parse(page: str) -> Dom:
-    """Blocks and their ancestors. Tags may be missing or cut off; scripts, styles, head and controls are left out."""
+    """Blocks and their ancestors, in time linear in the page.
+
+    Tags may be missing or cut off; scripts, styles, head and controls are left out. The head
+    ends at its end tag, or at the first element or text that can't be in it.
+    """
     dom = Dom()
     dom.add("#root", -1)
-    # open elements: name, node (that of the nearest block ancestor for inline ones)
-    stack: list[tuple[str, int]] = [("#root", 0)]
+    stack = _Stack()
     run: list[str] = []
     links, linked, silent = 0, 0, 0
 
@@ -92,7 +129,7 @@ def parse(page: str) -> Dom:
         if run:
             text = " ".join("".join(run).split())
             if text:
-                at = dom.add("#text", stack[-1][1])
+                at = dom.add("#text", stack.items[-1][1])
                 dom.text[at] = text
                 dom.linked[at] = min(linked, len(text))
             run.clear()
@@ -100,7 +137,9 @@ def parse(page: str) -> Dom:
 
     def put(raw: str) -> None:
         nonlocal linked
-        if raw and not silent:
+        if silent and stack.items[-1][0] == "head" and not raw.isspace():
+            pop(len(stack.items) - 1)
+        if not silent:
             raw = html.unescape(raw) if "&" in raw else raw
             run.append(raw)
             if links:
@@ -108,11 +147,10 @@ def parse(page: str) -> Dom:
 
     def pop(to: int) -> None:
         nonlocal links, silent
-        while len(stack) > to:
-            name = stack[-1][0]
-            if name not in INLINE:
+        while len(stack.items) > to:
+            if stack.items[-1][0] not in INLINE:
                 flush()
-            stack.pop()
+            name = stack.pop()
             links -= name == "a"
             silent -= name in SILENT or name == "head"
 
@@ -122,21 +160,21 @@ def parse(page: str) -> Dom:
         if not m:
             put(page[at:])
             break
-        put(page[at : m.start()])
+        if m.start() > at:
+            put(page[at : m.start()])
         at = m.end()
         name = m[2] or m[5]
         if not name:
             continue
         name = name.lower()
         if m[1] or m[4]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    pop(i)
-                    break
-            else:
-                if name not in INLINE:
-                    flush()
+            if place := stack.last((name,)):
+                pop(place)
+            elif name not in INLINE:
+                flush()
             continue
+        if name not in IN_HEAD and (place := stack.last(("head",))):
+            pop(place)
         if name == "br":
             put(" ")
             continue
@@ -145,32 +183,23 @@ def parse(page: str) -> Dom:
                 flush()
             continue
         if name in _BLOCK_ENDS_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    pop(i)
-                    break
-                if stack[i][0] not in INLINE:
-                    break
+            if place := stack.last(("select", "svg")):  # left open
+                pop(place)
+            place = stack.items[-1][2]
+            if stack.items[place][0] == "p":
+                pop(place)
         if name in _ENDS:
             ends, stops = _ENDS[name]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in stops:
-                    break
-                if stack[i][0] in ends.split():
-                    pop(i)
-                    if name != "tr":
-                        break
-        if name == "body":
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "head":
-                    pop(i)
-                    break
+            stop = stack.last(stops)
+            place = stack.first_above(ends, stop) if name == "tr" else stack.last(ends)
+            if place > stop:
+                pop(place)
         attributes = m[3] if m[2] else m[6]
         if name in RAW:
             end = re.compile(rf"</{name}", re.IGNORECASE).search(page, at)
             at = end.start() if end else size
         if name in INLINE:
-            stack.append((name, stack[-1][1]))
+            stack.push(name, stack.items[-1][1])
             links += name == "a"
         elif attributes.endswith("/") and name not in _TAG_CODE and name not in SILENT:
             flush()
@@ -182,7 +211,7 @@ def parse(page: str) -> Dom:
                     for token in _TOKEN.findall((a[0] or a[1] or a[2]).lower()):
                         for g in _groups_of(token):
                             groups |= 1 << g
-            stack.append((name, dom.add(name, stack[-1][1], groups) if not silent else stack[-1][1]))
+            stack.push(name, dom.add(name, stack.items[-1][1], groups) if not silent else stack.items[-1][1])
             silent += name in SILENT or name == "head"
     pop(1)
     flush()
@@ -292,7 +321,7 @@ class BoostedTrees:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 5, rate: float = 0.2, bins: int = 32, l2: float = 2.0, part: float = 0.5) -> BoostedTrees:
+def boost(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 5, rate: float = 0.2, bins: int = 32, l2: float = 2.0, part: float = 0.4) -> BoostedTrees:
     """Newton boosting for a log loss, with histograms of quantile bins over a part of the rows for each tree."""
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
     binned = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], axis=1)
@@ -377,12 +406,15 @@ class _Pages:
     def prose(self, low: int = 1, high: int = 7) -> str:
         self.count += 1
         text = " ".join(self.sentence() for _ in range(self.r.randint(low, high)))
-        if self.r.random() < 0.2:
+        if self.r.random() < 0.25:
             text = self.sentence(1, 4)
-        if self.r.random() < 0.15:
-            text = " ".join(w + self.r.choice(["***", "###", "$$$", "%%%"]) for w in text.split())
-        if self.r.random() < 0.1:
+        x = self.r.random()
+        if x < 0.04:
             text = text.upper()
+        elif x < 0.12:
+            text = " ".join(w if self.r.random() < 0.8 else self.r.choice(["%", "$", "/", "*", "#"]) + w for w in text.split())
+        elif x < 0.16:
+            text = text.replace(".", "")
         return f"{text} q{self.count}"
 
     def kept(self, text: str) -> str:
@@ -391,9 +423,12 @@ class _Pages:
 
     def name(self, *names: str, chance: float = 0.85) -> str:
         if self.r.random() > chance:
-            return self.r.choice(["", f' class="{self.words(1, 1)[0]}"', ' class="box c1"'])
+            return self.r.choice(["", f' class="{self.words(1, 1)[0]}"', f' class="{self.utility()}"', f' data-{self.words(1, 1)[0]}="{self.r.randint(1, 99)}"'])
         n = self.r.choice(names)
-        return f' {self.r.choice(["class", "id"])}="{n}{self.r.choice(["", "", "-wrap", " c2"])}"'
+        return f' {self.r.choice(["class", "id"])}="{n}{self.r.choice(["", "", "-wrap", "-inner", " " + self.utility()])}"'
+
+    def utility(self) -> str:
+        return " ".join(f"{self.r.choice(['col', 'row', 'mt', 'px', 'grid', 'block', 'is', 'js', 'u'])}-{self.r.randint(1, 12)}" for _ in range(self.r.randint(1, 3)))
 
     def links(self, low: int = 3, high: int = 9) -> str:
         self.count += 1
@@ -464,7 +499,7 @@ class _Pages:
     def page(self) -> tuple[str, set[str]]:
         self.main = set()
         r = self.r
-        title = self.sentence(2, 9) + f" t{self.count}"
+        title = self.sentence(1, 9)[:-1] + f" t{self.count}."
         parts: list[str] = []
         inside = r.random()
         if inside < 0.75:
@@ -476,21 +511,25 @@ class _Pages:
             parts.append(self.paragraph())
             if r.random() < 0.06:
                 parts.append(r.choice([self.ad, self.notice, self.side, self.share, self.form])())
-        if r.random() < 0.4:
+        if r.random() < 0.55:
             self.count += 1
-            parts.append(f"<p>{self.kept(self.sentence(1, 8) + f' s{self.count}')}</p>")
+            parts.append(f"<p>{self.kept(self.sentence(1, r.choice([2, 8]))[:-1] + f's{self.count}.')}</p>")
         body = "".join(parts)
         wrap = r.random()
-        if wrap < 0.4:
+        if wrap < 0.3:
             body = f"<article>{body}</article>"
-        elif wrap < 0.5:
+        elif wrap < 0.4:
             body = f"<main><article{self.name('post', 'story')}>{body}</article></main>"
-        elif wrap < 0.6:
+        elif wrap < 0.5:
             body = f"<main>{body}</main>"
-        elif wrap < 0.9:
+        elif wrap < 0.75:
             body = f"<div{self.name('content', 'post', 'entry-content', 'article-body', 'main', 'story-text')}>{body}</div>"
-        else:
+        elif wrap < 0.83:
             body = f"<div><section{self.name('content', 'post-body', chance=0.6)}>{body}</section></div>"
+        elif wrap < 0.87:
+            side = f"<td{self.name('side', 'menu', chance=0.5)}><ul>{self.links()}</ul></td>"
+            cells = [side, f"<td>{body}</td>"]
+            body = f"<table><tr>{''.join(r.sample(cells, 2))}</tr></table>"
         above = [f() for f, c in ((self.notice, 0.25), (self.header, 0.45), (self.menu, 0.7), (self.form, 0.15), (self.ad, 0.45)) if r.random() < c]
         if len(above) > 1 and r.random() < 0.4:
             r.shuffle(above)
@@ -499,11 +538,22 @@ class _Pages:
             r.shuffle(below)
         if r.random() < 0.75:
             below.append(self.footer())
+        if r.random() < 0.08:  # nothing but the article
+            above, below = [], []
         whole = "".join(above) + body + "".join(below)
         if r.random() < 0.3:
             whole = f"<div{self.name('page', 'wrapper', 'container')}>{whole}</div>"
-        end = r.choice(["</body></html>", "</body></html>", ""])
-        return f"<!DOCTYPE html><html><head><title>{self.sentence()}</title><style>p{{margin:0}}</style></head><body>{whole}<script>track(1)</script>{end}", self.main
+        head = f"<title>{self.sentence()}</title>" + r.choice(["", f"<meta name=author content='{self.words(1, 1)[0]}'>", f"<style>.{self.words(1, 1)[0]} {{ color: #{r.randint(100, 999)} }}</style>"])
+        script = r.choice(["", f"<script>window.{self.words(1, 1)[0]} = [{r.randint(0, 9)}];</script>", "<script async src='/s.js'></script>"])
+        start = r.choice(["<!DOCTYPE html>", "<!doctype html>\n", ""])
+        shell = r.random()
+        if shell < 0.7:
+            return f"{start}<html{r.choice(['', ' lang=xx'])}><head>{head}</head><body>{whole}{script}{r.choice(['</body></html>', '</body></html>', ''])}", self.main
+        if shell < 0.8:
+            return f"{start}<html><head>{head}<body>{whole}{script}</html>", self.main
+        if shell < 0.9:
+            return f"{start}<html><head>{head}{script}{whole}", self.main
+        return f"{start}{head}{whole}{script}", self.main
 
 
 def training_rows(pages: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -520,7 +570,7 @@ def training_rows(pages: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 #: Generated pages that the trees are fitted on.
-TRAINING_PAGES = 1500
+TRAINING_PAGES = 1800
 
 
 @lru_cache(maxsize=2)
