@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import public_tokenizers
@@ -45,7 +46,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_to_targets(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_to_targets(docs, with_text=False).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +82,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _W = r"[^\x20\x09-\x0D]+"
 
+
+def _quantile_sql(measure: str, quarter: int) -> str:
+    """A quantile of a measure from the counts of its buckets."""
+    bucket = f"min(b) FILTER (WHERE k = '{measure}' AND 4 * upto >= {quarter} * total)"
+    return f"CASE WHEN {bucket} = {quality.ZERO} THEN 0 ELSE 2 * pow({quality._GAMMA!r}::DOUBLE, {bucket}) / {quality._GAMMA + 1!r}::DOUBLE END AS {measure}{quarter}"
+
+
 ORACLES: dict[str, str] = {
     "op1_ngram_jaccard_join": rf"""
         WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_W}') AS ws FROM documents),
@@ -130,33 +139,47 @@ ORACLES: dict[str, str] = {
                 CASE WHEN n_words > 0 THEN n_repeat_words::DOUBLE / n_words ELSE 0 END AS c, CASE WHEN n_words > 0 THEN word_chars::DOUBLE / n_words ELSE 0 END AS e
             FROM m
         ),
-        f AS (SELECT * FROM r WHERE n_words >= 50),
-        q AS (
-            SELECT grouping(lang) AS gl, grouping(source) AS gs, lang, source, count(*) AS n, {", ".join(f"list_sort(list({x})) AS l_{x}" for x in "abce")}
-            FROM f GROUP BY GROUPING SETS ((lang, source), (lang), ())
+        u AS (
+            SELECT lang, source, k, CASE WHEN v > 0 THEN ceil(ln(v) / {math.log(quality._GAMMA)!r}::DOUBLE)::BIGINT ELSE {quality.ZERO} END AS b, count(*) AS n
+            FROM (UNPIVOT (SELECT lang, source, a, b AS bb, c, e, word_chars::DOUBLE AS wc, n_lines::DOUBLE AS nl, n_words::DOUBLE AS nw FROM r WHERE n_words >= 50) ON a, bb, c, e, wc, nl, nw INTO NAME k VALUE v)
+            GROUP BY ALL
+        ),
+        g3 AS (
+            SELECT 0 AS lvl, lang, source, k, b, n FROM u UNION ALL SELECT 1, lang, NULL, k, b, sum(n) FROM u GROUP BY lang, k, b
+            UNION ALL SELECT 2, NULL, NULL, k, b, sum(n) FROM u GROUP BY k, b
+        ),
+        h3 AS (SELECT *, sum(n) OVER (PARTITION BY lvl, lang, source, k) AS total, sum(n) OVER (PARTITION BY lvl, lang, source, k ORDER BY b) AS upto FROM g3),
+        z AS (
+            SELECT lvl, lang, source, max(total) AS n, {", ".join(_quantile_sql(*x) for x in [*[(k, q) for k in ("a", "bb", "c", "e") for q in (1, 3)], ("wc", 2), ("nl", 2), ("nw", 2)])}
+            FROM h3 GROUP BY lvl, lang, source
         ),
-        z AS (SELECT gl, gs, lang, source, n, {", ".join(f"l_{x}[greatest(1, ceil(0.25 * n))::INT] AS {x}1, l_{x}[greatest(1, ceil(0.75 * n))::INT] AS {x}3" for x in "abce")} FROM q),
         v AS (
             SELECT r.*, CASE WHEN o.n >= {quality.LEAST_GROUP} THEN o WHEN l.n >= {quality.LEAST_GROUP} THEN l ELSE h END AS y
-            FROM r LEFT JOIN z o ON o.gl = 0 AND o.gs = 0 AND o.lang IS NOT DISTINCT FROM r.lang AND o.source IS NOT DISTINCT FROM r.source
-                LEFT JOIN z l ON l.gl = 0 AND l.gs = 1 AND l.lang IS NOT DISTINCT FROM r.lang LEFT JOIN z h ON h.gl = 1 AND h.gs = 1
+            FROM r LEFT JOIN z o ON o.lvl = 0 AND o.lang IS NOT DISTINCT FROM r.lang AND o.source IS NOT DISTINCT FROM r.source
+                LEFT JOIN z l ON l.lvl = 1 AND l.lang IS NOT DISTINCT FROM r.lang LEFT JOIN z h ON h.lvl = 2
+        ),
+        s4 AS (
+            SELECT *, greatest(y.a3 - y.a1, 1 / greatest(y.wc2, 1), 1 / greatest(word_chars, 1)) AS sa, greatest(y.bb3 - y.bb1, 1 / greatest(y.nl2, 1), 1 / greatest(n_lines, 1)) AS sb,
+                greatest(y.c3 - y.c1, 6 / greatest(y.nw2, 1), 6 / greatest(n_words, 1)) AS sc, greatest(y.e3 - y.e1, e / greatest(y.nw2, 1), e / greatest(n_words, 1)) AS se
+            FROM v
         ),
         x AS (
             SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-                {' OR '.join(f'{x} > y.{x}3 + greatest({w}, 3 * (y.{x}3 - y.{x}1))' for x, w in zip('abc', quality.HIGH.values(), strict=True))}
-                OR e > y.e3 + greatest({quality.BOTH['mean_word']}, 3 * (y.e3 - y.e1)) OR e < y.e1 - greatest({quality.BOTH['mean_word']}, 3 * (y.e3 - y.e1)) AS odd
-            FROM v
+                round(a - y.a3 - {quality.REACH} * sa, 9) > 0 OR round(b - y.bb3 - {quality.REACH} * sb, 9) > 0 OR round(c - y.c3 - {quality.REACH} * sc, 9) > 0
+                OR round(e - y.e3 - {quality.REACH} * se, 9) > 0 OR round(y.e1 - e - {quality.REACH} * se, 9) > 0 AS odd
+            FROM s4
         )
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(odd, FALSE) AS kept FROM x""",
     "op8_decontaminate": rf"""
         WITH t AS (SELECT 0 AS kind, doc_id AS id, coalesce(text, '') AS t FROM documents UNION ALL SELECT 1, item_id, coalesce(text, '') FROM benchmark),
         w AS (SELECT kind, id, regexp_extract_all(t, '{_W}') AS ws FROM t),
+        b AS (SELECT DISTINCT least(len(ws), 5) AS k FROM w WHERE kind = 1 AND len(ws) > 0),
         s AS (
-            SELECT DISTINCT kind, id, array_to_string(ws[i:i + 4], ' ') AS g
-            FROM (SELECT kind, id, ws, unnest(range(1, greatest(len(ws) - 4, least(len(ws), 1)) + 1)) AS i FROM w)
+            SELECT DISTINCT kind, id, k, array_to_string(ws[i:i + k - 1], ' ') AS g
+            FROM (SELECT kind, id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w JOIN b ON CASE WHEN kind = 1 THEN k = least(len(ws), 5) ELSE k <= len(ws) END)
         ),
         n AS (SELECT id, count(*) AS n FROM s WHERE kind = 1 GROUP BY id),
-        h AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS k FROM s d JOIN s b ON d.kind = 0 AND b.kind = 1 AND d.g = b.g GROUP BY ALL)
+        h AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS k FROM s d JOIN s b ON d.kind = 0 AND b.kind = 1 AND d.k = b.k AND d.g = b.g GROUP BY ALL)
         SELECT doc_id, list_sort(list(item_id)) AS items, max(k::DOUBLE / n) AS containment
         FROM h JOIN n ON n.id = item_id WHERE 5 * k >= 4 * n GROUP BY doc_id""",
     "op9_url_filter": r"""
