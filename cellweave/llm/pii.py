@@ -214,24 +214,28 @@ def learn_patterns(docs: DataFrame, text: str = "text", rounds: int | None = Non
 
     edges = map_batches(narrow, run, "pattern string, instance string, seed int")
     edges = cut(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
-    enough = edges.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if(F.col("seed") == 1).alias("s"), F.count_if(F.col("seed") == 2).alias("b")).where(F.col("n") >= support)
-    enough = cut(enough.select("pattern", F.when(F.col("s") > F.col("b"), "secret").otherwise("id").alias("kind")))
-    edges = cut(edges.join(enough.select("pattern"), "pattern", "left_semi").withColumn("seed", F.col("seed") > 0))
-    scored, before, r = edges.withColumn("score", F.col("seed").cast("double")), None, 0
-    while True:
-        patterns = scored.groupBy("pattern").agg((F.sum("score") / (F.count("*") + 1)).alias("score"), F.sum((F.col("score") >= 0.5).cast("long")).alias("n_good"))
-        good = cut(patterns.where((F.col("score") >= confidence) & (F.col("n_good") >= support)))
-        rise = good.select("pattern", "score")
-        if before is not None:
-            rise = rise.join(before.select("pattern", F.col("score").alias("old")), "pattern", "left").select((F.col("score") - F.coalesce("old", F.lit(0.0))).alias("score"))
-        r += 1
-        if r == rounds or rise.where(F.col("score") > STILL).isEmpty():
-            return good.join(enough, "pattern")
-        before = good
-        doubt = edges.join(good, "pattern").groupBy("instance").agg(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))).alias("doubt"))
-        scored = edges.join(doubt, "instance", "left").select(
-            "pattern", "instance", "seed", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp(F.coalesce("doubt", F.lit(0.0)))).alias("score")
-        )
+    is_seed = F.col("seed") > 0
+    counts = [F.count("*").alias("n"), F.count_if(is_seed).alias("seeds"), F.count_if(F.col("seed") == 1).alias("s"), F.count_if(F.col("seed") == 2).alias("b")]
+    kind = F.when(F.col("s") > F.col("b"), "secret").otherwise("id").alias("kind")
+    known = cut(edges.groupBy("pattern").agg(*counts).where(F.col("n") >= support).select("pattern", "n", "seeds", kind))
+    unseen = cut(edges.where(~is_seed).join(known.select("pattern"), "pattern", "left_semi").select("pattern", "instance"))
+    score, n_good = (F.col("seeds") + F.col("gain")) / (F.col("n") + 1), F.col("seeds") + F.col("more")
+
+    def accepted(rows: DataFrame) -> DataFrame:
+        return rows.select("pattern", score.alias("score"), n_good.cast("long").alias("n_good"), "kind").where((F.col("score") >= confidence) & (F.col("n_good") >= support))
+
+    # seeds score 1 for good, so their part of a pattern is counted once; rounds work on unseen instances alone
+    sure = good = cut(accepted(known.withColumns({"gain": F.lit(0.0), "more": F.lit(0)})))
+    r = 1
+    while r != rounds:
+        doubt = unseen.join(good, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))))).alias("p"))
+        gains = cut(unseen.join(doubt, "instance").groupBy("pattern").agg(F.sum("p").alias("gain"), F.count_if(F.col("p") >= 0.5).alias("more")))
+        new = cut(accepted(known.join(gains, "pattern")).unionByName(sure.join(gains, "pattern", "left_anti")))
+        rise = new.join(good.select("pattern", F.col("score").alias("old")), "pattern", "left").where(F.col("score") - F.coalesce("old", F.lit(0.0)) > STILL)
+        good, r = new, r + 1
+        if rise.isEmpty():
+            break
+    return good
 
 
 def _extra(text: str, base: list[tuple[str, int, int]], accepted: dict[str, str]) -> list[tuple[str, int, int]]:
