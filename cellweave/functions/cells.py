@@ -4,9 +4,9 @@ Ids follow the common hexagon-index layout: mode 1 in bits 59-62, resolution in
 cell in bits 45-51, then fifteen three-bit digits, 7 where unused. Parent, resolution and
 text form are exact for any id in this layout.
 
-The locator is a grid of our own in that layout, not a hexagon grid: 120 base rectangles of 30 by 18
-degrees, each split into seven, by turns along longitude and latitude. Everything is a Column,
-so location stays in generated code.
+The hexagon grid is in ``hexgrid``. The locator here is a grid of rectangles in the same layout:
+120 base rectangles of 30 by 18 degrees, each split into seven, by turns along longitude and
+latitude. Everything is a Column, so location stays in generated code, and its cells nest exactly.
 """
 
 from __future__ import annotations
@@ -75,22 +75,23 @@ def _splits(res: int) -> tuple[int, int]:
 
 
 def cell_at(lat: Column, lon: Column, res: int) -> Column:
-    """The cell of a position. Longitude wraps, latitude 90 is in the top row; nulls and NaN give null."""
+    """The rectangle cell of a position. Longitude wraps, latitude 90 is in the top row; nulls and NaN give null."""
     check_resolution(res)
-    across, up = _splits(res)
-    col = F.pmod(F.floor((lon + 180.0) / (BASE_WIDTH / across)).cast("long"), F.lit(BASE_COLUMNS * across))
-    row = F.least(F.greatest(F.floor((lat + 90.0) / (BASE_HEIGHT / up)).cast("long"), F.lit(0)), F.lit(BASE_ROWS * up - 1))
-    base = F.floor(row / up) * BASE_COLUMNS + F.floor(col / across)
-    out = F.lit((1 << 59) + (res << 52) + (1 << 3 * (15 - res)) - 1) + F.shiftleft(base.cast("long"), 45)
-    left_across, left_up = across, up
+    across, up = _splits(MAX_RESOLUTION)
+    col = F.pmod(F.floor((lon + 180.0) / BASE_WIDTH * float(across)).cast("long"), F.lit(BASE_COLUMNS * across))
+    row = F.least(F.greatest(F.floor((lat + 90.0) / BASE_HEIGHT * float(up)).cast("long"), F.lit(0)), F.lit(BASE_ROWS * up - 1))
+    # column and row of the finest cell, so that the cell of any resolution is an ancestor of the finer ones
+    whole = lambda x, parts: F.floor(x / parts).cast("long")
+    base = whole(row, up) * BASE_COLUMNS + whole(col, across)
+    out = F.lit((1 << 59) + (res << 52) + (1 << 3 * (15 - res)) - 1) + F.shiftleft(base, 45)
     for level in range(1, res + 1):
         if level % 2:
-            left_across //= 7
-            digit = F.floor(col / left_across) % 7
+            across //= 7
+            digit = whole(col, across) % 7
         else:
-            left_up //= 7
-            digit = F.floor(row / left_up) % 7
-        out = out + F.shiftleft(digit.cast("long"), 3 * (15 - level))
+            up //= 7
+            digit = whole(row, up) % 7
+        out = out + F.shiftleft(digit, 3 * (15 - level))
     valid = lat.isNotNull() & lon.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon) & lat.between(-90, 90)
     return F.when(valid, out)
 
