@@ -7,7 +7,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from cellweave.functions.cells import cell_at
+from cellweave.functions.hexgrid import hex_cell
 from cellweave.operators import aggregate as A
 from cellweave.operators.raster import zonal
 from cellweave.operators.rollup import rollup_levels
@@ -49,7 +49,7 @@ def main(args: list[str] | None = None) -> int:
         make, _ = A.THEMES[a.theme]
         df = spark.read.parquet(a.input)
         if "cell" not in df.columns:
-            df = df.withColumn("cell", cell_at(F.col("lat"), F.col("lon"), a.resolution))
+            df = df.withColumn("cell", hex_cell(F.col("lat"), F.col("lon"), a.resolution))
         out = make(df)
         write_sorted(out, f"{a.output}/l{a.resolution}", "cell", mode="overwrite")
         if a.rollup:
@@ -57,7 +57,7 @@ def main(args: list[str] | None = None) -> int:
             for res, level in rollup_levels(base, a.rollup, {c: "sum" for c in out.columns if c not in ("cell", "avg_height_m")}).items():
                 write_sorted(level, f"{a.output}/l{res}", "cell", mode="overwrite")
     elif a.what == "raster":
-        pixels = read_tiff(spark, a.input).withColumn("cell", cell_at(F.col("lat"), F.col("lon"), a.resolution))
+        pixels = read_tiff(spark, a.input).withColumn("cell", hex_cell(F.col("lat"), F.col("lon"), a.resolution))
         write_sorted(zonal(pixels, None, a.how, "cell", by=["raster_id"]), a.output, "cell", mode="overwrite")
     elif a.what == "compare":
         report = A.compare(spark.read.parquet(a.left), spark.read.parquet(a.right), a.metrics.split(","))

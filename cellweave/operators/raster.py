@@ -74,6 +74,23 @@ def pixel_zones(pixels: DataFrame, zones: DataFrame, zone: str = "zone_id", touc
     return rectangles_join(pixels, grown, "lon", "lat", [zone])
 
 
+def polygon_zones(pixels: DataFrame, polygons: DataFrame, zone: str = "zone_id", geometry: str = "geom_wkb", touched: bool = False, half_x: float = 0.0, half_y: float = 0.0) -> DataFrame:
+    """Pixels with every polygon that holds their centres or, with ``touched``, that meets the pixel's rectangle.
+
+    Both sides meet by covering squares; a pixel in several polygons comes once for each. Give
+    half a pixel's width and height for ``touched``.
+    """
+    from cellweave.operators.spatial_join import assign_polygons
+
+    return assign_polygons(pixels, polygons, [zone], zone, "lon", "lon", "lat", geometry, first_only=False, half_x=half_x if touched else 0.0, half_y=half_y if touched else 0.0)
+
+
+def zonal_polygons(pixels: DataFrame, polygons: DataFrame, how: str = "mean", zone: str = "zone_id", geometry: str = "geom_wkb", nodata: float | None = None, exclude_zero: bool = False, by: Sequence[str] = (), **touch) -> DataFrame:
+    """``zonal`` over polygon zones; without ``by``, zones without pixels are there with counts of 0."""
+    keyed = polygon_zones(pixels, polygons, zone, geometry, **touch)
+    return zonal(keyed, None if by else polygons, how, zone, "value", nodata, exclude_zero, by)
+
+
 def check_same_projection(a: int, b: int) -> None:
     if a != b:
         raise ProjectionError(f"raster has {a}, zones have {b}")
@@ -90,20 +107,21 @@ def band_stats(pixels: DataFrame, nodata: float | None = None, value: str = "val
     )
 
 
-def is_categorical(pixels: DataFrame, value: str = "value", window: int = 1024, most: int = 256) -> DataFrame:
-    """Whether a raster's first window has fewer than ``most`` distinct values (of an 8-bit raster that is nearly always so)."""
+def is_categorical(pixels: DataFrame, value: str = "value", window: int = 1024, most: int = 256, nodata: float | None = None) -> DataFrame:
+    """Whether a raster's first window has fewer than ``most`` distinct values other than nodata."""
     rows = pixels.where((F.col("row") < window) & (F.col("col") < window))
-    return rows.groupBy("raster_id").agg((F.count_distinct(value) < most).alias("categorical"))
+    v = F.col(value) if nodata is None else F.when(F.col(value) != F.lit(nodata), F.col(value))
+    return rows.groupBy("raster_id").agg((F.count_distinct(v) < most).alias("categorical"))
 
 
 def raster_type(colors: str = "color_interp", bands: str = "band_count", dtype: str = "dtype", categorical: str = "categorical") -> Column:
-    """A raster's type: colour interpretation first, then the number of bands and the data type."""
+    """A raster's type: red, green and blue first, then the number of bands and the data type."""
     c, n, d = F.col(colors), F.col(bands), F.col(dtype)
+    single = F.when(d.isin("float32", "float64"), "dem").when(d.isin("uint8", "int8") & F.col(categorical), "categorical").when(d == "uint8", "panchromatic").otherwise("dem")
     return (
-        F.when(c == "palette", "categorical").when((c == "rgb") & (n == 3), "rgb").when((c == "rgb") & (n >= 4), "rgba")
-        .when((n == 1) & d.isin("uint8", "int8") & F.col(categorical), "categorical").when((n == 1) & d.isin("uint8", "uint16"), "panchromatic")
-        .when((n == 1) & d.isin("float32", "float64"), "dem").when((n == 1) & d.isin("int16", "int32"), "continuous").when(n == 3, "rgb").when(n >= 4, "multispectral").otherwise("unknown")
-    )
+        F.when((c == "rgb") & (n >= 3), F.when(n == 4, "rgba").otherwise("rgb"))
+        .when(n == 1, single).when(n == 3, "rgb").when(n == 4, "rgba").when(n > 4, "multispectral").otherwise("unknown")
+    )
 
 
 def memory_mb(width: str = "width", height: str = "height", bands: str = "band_count", dtype: str = "dtype") -> Column:
@@ -119,8 +137,9 @@ def bounds_errors(west: str = "west", south: str = "south", east: str = "east",
     return F.array_compact(F.array(
         F.when(code.isNull(), "no projection"),
         F.when((w >= e) | (s >= n), "empty bounds"),
-        F.when(geographic & ((w < -180) | (e > 180) | (s < -90) | (n > 90)), "outside of the globe"),
-        F.when(~geographic & (F.greatest(F.abs(w), F.abs(s), F.abs(e), F.abs(n)) > 1e8), "extent too large"),
+        F.when(geographic & ((w < -180) | (e > 180)), "longitude out of range"),
+        F.when(geographic & ((s < -90) | (n > 90)), "latitude out of range"),
+        F.when(~geographic & ((e - w > 1e8) | (n - s > 1e8)), "extent too large"),
     ))
 
 
@@ -135,7 +154,7 @@ def quality_flags(stats: DataFrame) -> DataFrame:
 def validate_rasters(meta: DataFrame, pixels: DataFrame, nodata: float | None = None) -> DataFrame:
     """One row for each raster of ``meta``: type, memory, errors and its bands' statistics with flags."""
     bands = quality_flags(band_stats(pixels, nodata)).groupBy("raster_id").agg(F.array_sort(F.collect_list(F.struct("band", "min", "max", "mean", "std", "null_percent", "flags"))).alias("bands"))
-    out = meta.join(is_categorical(pixels), "raster_id", "left").join(bands, "raster_id", "left")
+    out = meta.join(is_categorical(pixels, nodata=nodata), "raster_id", "left").join(bands, "raster_id", "left")
     warn = F.array_compact(F.array(F.when(F.col("dtype") == "float64", "float64 could be float32")))
     return out.withColumns({"raster_type": raster_type(), "memory_mb": memory_mb(), "errors": bounds_errors(), "warnings": warn})
 
@@ -243,19 +262,26 @@ def mosaic(inputs: Sequence[DataFrame], nodata: float | None = None) -> DataFram
     return good.groupBy("band", "row", "col").agg(F.max_by("value", "__i").alias("value"))
 
 
-def cloud_cover(pixels: DataFrame, bright: float = 180.0, saturation: float = 0.2) -> DataFrame:
+def cloud_cover(pixels: DataFrame, bright: float = 180.0, saturation: float = 0.2, area: DataFrame | None = None, geometry: str = "geom_wkb") -> DataFrame:
     """Percent (one digit) of bright and colourless pixels of each scene, from bands 1, 2 and 3.
 
-    Pixels that are 0 in all bands are nodata; a scene without three bands or without valid pixels is null.
+    Pixels that are 0 in all bands are nodata; a scene without three bands or without valid
+    pixels is null. With ``area`` (polygons) only pixels whose centres (``lon, lat``) lie in one of
+    them count, and ``coverage_pct`` is the share of those that have data.
     """
+    if area is not None:
+        keyed = polygon_zones(pixels, area.select(F.lit(1).alias("__z"), geometry), "__z", geometry)
+        pixels = keyed.select("raster_id", "row", "col", "band", "value").distinct()
     wide = pixels.groupBy("raster_id", "row", "col").pivot("band", [1, 2, 3]).agg(F.first("value"))
     r, g, b = (F.col(str(i)).cast("double") for i in (1, 2, 3))
     high, low = F.greatest(r, g, b), F.least(r, g, b)
     valid = r.isNotNull() & g.isNotNull() & b.isNotNull() & ~((r == 0) & (g == 0) & (b == 0))
     sat = F.when(high > 0, (high - low) / high).otherwise(0.0)
     cloud = valid & ((r + g + b) / 3 > bright) & (sat < saturation)
-    out = wide.groupBy("raster_id").agg(F.count_if(valid).alias("valid"), F.count_if(cloud).alias("cloudy"))
-    return out.select("raster_id", F.when(F.col("valid") > 0, F.round(100.0 * F.col("cloudy") / F.col("valid"), 1)).alias("cloud_pct"), "valid")
+    mean = F.avg(F.when(valid, (r + g + b) / 3)).alias("brightness")
+    out = wide.groupBy("raster_id").agg(F.count_if(valid).alias("valid"), F.count_if(cloud).alias("cloudy"), F.count("*").alias("n"), mean)
+    more = [] if area is None else [F.round(100.0 * F.col("valid") / F.col("n"), 1).alias("coverage_pct"), F.round("brightness", 1).alias("brightness")]
+    return out.select("raster_id", F.when(F.col("valid") > 0, F.round(100.0 * F.col("cloudy") / F.col("valid"), 1)).alias("cloud_pct"), "valid", *more)
 
 
 def clear_scenes(scenes: DataFrame, pixels: DataFrame, most: float, key: str = "raster_id") -> DataFrame:
@@ -263,26 +289,34 @@ def clear_scenes(scenes: DataFrame, pixels: DataFrame, most: float, key: str = "
     return scenes.join(cloud_cover(pixels), key).where(F.col("cloud_pct").isNotNull() & (F.col("cloud_pct") <= most)).orderBy("cloud_pct", key)
 
 
-#: Compression and overview resampling by raster type and quality of a cloud-optimised copy.
+#: Type, quality, compression, predictor and lossy quality of a cloud-optimised copy.
 COG_POLICY = [
-    ("rgb", "web", "JPEG", "average"), ("rgb", "analysis", "DEFLATE", "average"), ("rgb", "archive", "LZW", "average"),
-    ("rgba", "web", "WEBP", "average"), ("rgba", "analysis", "DEFLATE", "average"), ("rgba", "archive", "LZW", "average"),
-    ("dem", "web", "DEFLATE", "bilinear"), ("dem", "analysis", "DEFLATE", "bilinear"), ("dem", "archive", "LZW", "bilinear"),
-    ("categorical", "web", "DEFLATE", "mode"), ("categorical", "analysis", "DEFLATE", "mode"), ("categorical", "archive", "LZW", "mode"),
-    ("multispectral", "web", "DEFLATE", "average"), ("multispectral", "analysis", "DEFLATE", "average"), ("multispectral", "archive", "LZW", "average"),
+    ("rgb", "visualization", "JPEG", None, 85), ("rgb", "analysis", "DEFLATE", 2, None), ("rgb", "archive", "LZW", 2, None),
+    ("rgba", "visualization", "WEBP", None, 85), ("rgba", "analysis", "DEFLATE", 2, None), ("rgba", "archive", "LZW", 2, None),
+    ("dem", "visualization", "DEFLATE", 2, None), ("dem", "analysis", "DEFLATE", 2, None), ("dem", "archive", "LERC_DEFLATE", None, None),
+    ("categorical", "visualization", "DEFLATE", None, None), ("categorical", "analysis", "DEFLATE", None, None), ("categorical", "archive", "LZW", None, None),
+    ("multispectral", "visualization", "DEFLATE", 2, None), ("multispectral", "analysis", "DEFLATE", 2, None), ("multispectral", "archive", "LERC_DEFLATE", None, None),
+    ("panchromatic", "visualization", "JPEG", None, 85), ("panchromatic", "analysis", "DEFLATE", 2, None), ("panchromatic", "archive", "LZW", 2, None),
 ]
+#: Types whose overviews are bilinear; those of others are nearest.
+BILINEAR = ("rgb", "rgba", "dem", "multispectral", "panchromatic")
 
 
-def cog_plan(rasters: DataFrame, quality: str, max_memory_mb: float = 512.0) -> DataFrame:
-    """Compression, resampling and whether to work in memory, for each raster (``raster_type, size_mb``)."""
-    policy = rasters.sparkSession.createDataFrame(COG_POLICY, "raster_type string, quality string, compression string, resampling string").where(F.col("quality") == quality)
+def cog_plan(rasters: DataFrame, quality: str, max_memory_mb: float = 4096.0) -> DataFrame:
+    """Compression, predictor, overview resampling and whether to work in memory, for each raster (``raster_type, size_mb``)."""
+    schema = "raster_type string, quality string, compression string, predictor int, lossy_quality int"
+    policy = rasters.sparkSession.createDataFrame(COG_POLICY, schema).where(F.col("quality") == quality)
     out = rasters.join(F.broadcast(policy), "raster_type", "left")
-    return out.withColumns({"quality": F.lit(quality), "compression": F.coalesce("compression", F.lit("DEFLATE")), "resampling": F.coalesce("resampling", F.lit("nearest")), "in_memory": F.col("size_mb") < max_memory_mb})
+    known = F.col("compression").isNotNull()
+    return out.withColumns({
+        "quality": F.lit(quality), "compression": F.coalesce("compression", F.lit("DEFLATE")), "predictor": F.when(known, F.col("predictor")).otherwise(2),
+        "resampling": F.when(F.col("raster_type").isin(*BILINEAR), "bilinear").otherwise("nearest"), "in_memory": F.col("size_mb") < max_memory_mb,
+    })
 
 
 def level_one(pixels: DataFrame, by: str = "average") -> DataFrame:
     """The first overview: blocks of two by two pixels, averaged, or their most frequent value (``mode``), or the first (``nearest``)."""
-    how = {"average": F.avg("value"), "mode": F.mode("value", True), "nearest": F.min_by("value", F.struct("row", "col"))}
+    how = {"average": F.avg("value"), "bilinear": F.avg("value"), "mode": F.mode("value", True), "nearest": F.min_by("value", F.struct("row", "col"))}
     if by not in how:
         raise RasterError(f"no resampling {by!r}")
     grouped = pixels.groupBy("raster_id", "band", F.floor(F.col("row") / 2).alias("row2"), F.floor(F.col("col") / 2).alias("col2")).agg(how[by].alias("value"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellweave.functions.geometry import decode, rings_of
+from cellweave.functions.geometry import bounds_of, decode, rings_of
 from cellweave.operators.aggregate import first_rows
 from cellweave.session import ship
 
@@ -70,6 +70,42 @@ def within(px: float, py: float, polygons: list[list[np.ndarray]]) -> bool:
     return bool(within_many(np.array([px], dtype=float), np.array([py], dtype=float), polygons)[0])
 
 
+def touches_many(px: np.ndarray, py: np.ndarray, half_x: float, half_y: float, polygons: list[list[np.ndarray]]) -> np.ndarray:
+    """Which rectangles around points meet polygons: their centres lie inside, or an edge runs through them."""
+    out = within_many(px, py, polygons)
+    for ring in (r for rings in polygons for r in rings):
+        for (x1, y1), (x2, y2) in zip(ring[:-1, :2], ring[1:, :2], strict=True):
+            rows = np.flatnonzero(~out & (px >= min(x1, x2) - half_x) & (px <= max(x1, x2) + half_x) & (py >= min(y1, y2) - half_y) & (py <= max(y1, y2) + half_y))
+            if len(rows):  # the corners of the rectangle are not all on one side of the edge's line
+                side = (x2 - x1) * (py[rows] - y1) - (y2 - y1) * (px[rows] - x1)
+                out[rows] = np.abs(side) <= abs(x2 - x1) * half_y + abs(y2 - y1) * half_x
+    return out
+
+
+def meets(px: np.ndarray, py: np.ndarray, half_x: float, half_y: float, polygons: list[list[np.ndarray]]) -> np.ndarray:
+    return touches_many(px, py, half_x, half_y, polygons) if half_x or half_y else within_many(px, py, polygons)
+
+
+def tester(half_x: float = 0.0, half_y: float = 0.0):
+    """An Arrow function (x, y, polygon): points inside, or their rectangles meeting; all points of a batch that share a polygon at once."""
+
+    @F.pandas_udf(T.BooleanType())
+    def test(x: pd.Series, y: pd.Series, wkb: pd.Series) -> pd.Series:
+        px, py, out = x.to_numpy(dtype=float, na_value=np.nan), y.to_numpy(dtype=float, na_value=np.nan), np.zeros(len(x), dtype=bool)
+        code, shapes = pd.factorize(wkb.map(lambda v: None if v is None else bytes(v)))
+        for i, raw in enumerate(shapes):
+            rows = np.flatnonzero((code == i) & ~np.isnan(px) & ~np.isnan(py))
+            if len(rows):
+                out[rows] = meets(px[rows], py[rows], half_x, half_y, rings_of(decode(raw)))
+        return pd.Series(out)
+
+    return test
+
+
+#: Polygons (bytes of WKB, and rows) that every task may hold decoded; of more, the WKB travels with the pairs.
+HELD_BYTES, HELD_ROWS = 32_000_000, 100_000
+
+
 @F.pandas_udf(T.BooleanType())
 def point_within(x: pd.Series, y: pd.Series, wkb: pd.Series) -> pd.Series:
     """Points against polygons, all points of a batch that meet one polygon at once."""
@@ -83,29 +119,70 @@ def point_within(x: pd.Series, y: pd.Series, wkb: pd.Series) -> pd.Series:
 
 
 def assign_polygons(
-    points: DataFrame, polygons: DataFrame, columns: Sequence[str], order: str, key: str = "cell", x: str = "lon", y: str = "lat", geometry: str = "geom_wkb", first_only: bool = True, size: float = SQUARE
-) -> DataFrame:
+    points: DataFrame, polygons: DataFrame, columns: Sequence[str], order: str, key: str = "cell", x: str = "lon", y: str = "lat", geometry: str = "geom_wkb", first_only: bool = True, size: float = SQUARE,
+    half_x: float = 0.0, half_y: float = 0.0,
+) -> DataFrame:
     """Points that lie in a polygon, with its ``columns``; of several the one with the smallest ``order``.
 
     Polygons are exploded to the squares that their bounds touch and joined to points by square;
     the exact test runs on those pairs only. ``polygons`` may carry its bounds as
-    ``west, south, east, north``; else they are computed. Points in no polygon are absent.
+    ``west, south, east, north``; else they are computed. Points in no polygon are absent. With
+    ``half_x`` and ``half_y`` rectangles of that half size around the points are tested instead.
+
+    Polygons within ``HELD_BYTES`` and ``HELD_ROWS`` (both are measured) are numbered and sent to every task
+    once, and pairs carry the number; of larger tables, pairs carry the polygon itself.
     """
     from cellweave.functions.geometry import bounds
 
-    ship(points.sparkSession)
+    spark = points.sparkSession
+    ship(spark)
     wanted = list(dict.fromkeys([*columns, order]))
-    if not {"west", "south", "east", "north"} <= set(polygons.columns):
-        polygons = polygons.withColumn("__b", bounds(F.col(geometry))).select("*", "__b.*")
-    cover = covering(polygons.select(*wanted, geometry, "west", "south", "east", "north"), size)
+    total = polygons.agg(F.count("*"), F.coalesce(F.sum(F.length(geometry)), F.lit(0))).head()
+    small = total[0] <= HELD_ROWS and total[1] <= HELD_BYTES
+    if small:
+        rows = polygons.select(*wanted, geometry).where(F.col(geometry).isNotNull()).collect()
+        held = spark.sparkContext.broadcast([bytes(r[geometry]) for r in rows])
+        boxes = [bounds_of(decode(raw)) for raw in held.value]
+        table = [(*[r[c] for c in wanted], i, *map(float, box)) for i, (r, box) in enumerate(zip(rows, boxes, strict=True)) if box]
+        fields = [polygons.schema[c] for c in wanted] + [T.StructField("__i", T.IntegerType())] + [T.StructField(c, T.DoubleType()) for c in ("west", "south", "east", "north")]
+        polygons, carried, test = spark.createDataFrame(table, T.StructType(fields)), "__i", _numbered(held, half_x, half_y)
+    else:
+        carried, test = geometry, tester(half_x, half_y)
+        if not {"west", "south", "east", "north"} <= set(polygons.columns):
+            polygons = polygons.withColumn("__b", bounds(F.col(geometry))).select("*", "__b.*")
+    grown = polygons.withColumns({"west": F.col("west") - half_x, "south": F.col("south") - half_y, "east": F.col("east") + half_x, "north": F.col("north") + half_y})
+    cover = covering(grown.select(*wanted, carried, "west", "south", "east", "north"), size)
     tagged = points.withColumns({"__qx": square_of(F.col(x), size), "__qy": square_of(F.col(y), size)})
     near = tagged.join(cover, ["__qx", "__qy"]).where(F.col(x).between(F.col("west"), F.col("east")) & F.col(y).between(F.col("south"), F.col("north")))
-    hits = near.where(point_within(F.col(x), F.col(y), F.col(geometry))).drop("__qx", "__qy", "west", "south", "east", "north", geometry)
+    hits = near.where(test(F.col(x), F.col(y), F.col(carried))).drop("__qx", "__qy", "west", "south", "east", "north", carried)
     if first_only:
         hits = first_rows(hits, [key], [order])
     return hits if order in columns else hits.drop(order)
 
 
+def _numbered(held, half_x: float, half_y: float):
+    """``tester`` for polygons of a broadcast list, by number; a worker decodes each once."""
+
+    @F.pandas_udf(T.BooleanType())
+    def test(x: pd.Series, y: pd.Series, number: pd.Series) -> pd.Series:
+        px, py, at, out = x.to_numpy(dtype=float, na_value=np.nan), y.to_numpy(dtype=float, na_value=np.nan), number.to_numpy(), np.zeros(len(x), dtype=bool)
+        for i in np.unique(at):
+            rows = np.flatnonzero((at == i) & ~np.isnan(px) & ~np.isnan(py))
+            if len(rows):
+                raw = held.value[int(i)]
+                if raw not in _decoded:
+                    if len(_decoded) >= HELD_ROWS:
+                        _decoded.clear()
+                    _decoded[raw] = rings_of(decode(raw))
+                out[rows] = meets(px[rows], py[rows], half_x, half_y, _decoded[raw])
+        return pd.Series(out)
+
+    return test
+
+
+_decoded: dict[bytes, list] = {}
+
+
 def feature_pairs(points: DataFrame, polygons: DataFrame, feature: str, key: str = "cell", **options) -> DataFrame:
     """Distinct pairs of cell and feature that holds it."""
     return assign_polygons(points, polygons, [feature], feature, key, first_only=False, **options).select(key, feature).distinct()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,7 +101,9 @@ def cell_children(spark, sf):
 
 _AT2 = (
     f"SELECT event_id, ({(1 << 59) + (2 << 52) + (1 << 39) - 1} + ((row // 7) * 12 + col // 7) * {1 << 45} + (col % 7) * {1 << 42} + (row % 7) * {1 << 39})::BIGINT AS cell, lon, lat, class, value "
-    f"FROM (SELECT *, floor((lon + 180) / ({30.0 / 7}::DOUBLE))::BIGINT % 84 AS col, least(greatest(floor((lat + 90) / ({18.0 / 7}::DOUBLE))::BIGINT, 0), 69) AS row FROM ({X.POINTS}))"
+    # columns and rows of the finest level, divided: a position's cells nest at every level
+    "FROM (SELECT *, (floor((lon + 180) / 30.0::DOUBLE * 5764801.0::DOUBLE)::BIGINT % 69177612) // 823543 AS col, least(greatest(floor((lat + 90) / 18.0::DOUBLE * 823543.0::DOUBLE)::BIGINT, 0), 8235429) // 117649 AS row "
+    f"FROM ({X.POINTS}))"
 )
 
 
@@ -363,15 +366,15 @@ def band_stats(spark, sf):
     return R.band_stats(X.pixels(spark, sf), X.NODATA, digits=6)
 
 
-@query(f"SELECT raster_id, count(DISTINCT value) < 40 AS categorical FROM ({X.PIXELS}) WHERE row < 6 AND col < 7 GROUP BY raster_id")
+@query(f"SELECT raster_id, (count(DISTINCT value) FILTER (WHERE value <> -9999)) < 40 AS categorical FROM ({X.PIXELS}) WHERE row < 6 AND col < 6 GROUP BY raster_id")
 def is_categorical(spark, sf):
-    p = X.pixels(spark, sf)
-    return R.is_categorical(p.where("row < 6 and col < 7"), most=40)
+    """The operator's window is the feature; here it is six by six pixels."""
+    return R.is_categorical(X.pixels(spark, sf), window=6, most=40, nodata=X.NODATA)
 
 
-@query(f"SELECT raster_id, count(DISTINCT value) < 40 AS categorical FROM ({X.PIXELS}) WHERE row < 1024 AND col < 1024 GROUP BY raster_id")
+@query(f"SELECT raster_id, (count(DISTINCT value) FILTER (WHERE value <> -9999)) < 50 AS categorical FROM ({X.PIXELS}) WHERE row < 1024 AND col < 1024 GROUP BY raster_id")
 def is_categorical_all(spark, sf):
-    return R.is_categorical(X.pixels(spark, sf), most=40)
+    return R.is_categorical(X.pixels(spark, sf), most=50, nodata=X.NODATA)
 
 
 _META = "SELECT vec_id AS raster_id, CASE vec_id % 5 WHEN 0 THEN 'palette' WHEN 1 THEN 'rgb' ELSE 'gray' END AS color_interp, (vec_id % 4 + 1)::INT AS band_count, ['uint8','uint16','float32','int16','float64'][vec_id % 5 + 1] AS dtype, vec_id % 2 = 0 AS categorical, 100 + vec_id AS width, 200 + vec_id AS height FROM embeddings"
@@ -386,9 +389,9 @@ def _meta(spark, sf):
 
 
 @query(
-    f"SELECT raster_id, CASE WHEN color_interp = 'palette' THEN 'categorical' WHEN color_interp = 'rgb' AND band_count = 3 THEN 'rgb' WHEN color_interp = 'rgb' AND band_count >= 4 THEN 'rgba' "
-    "WHEN band_count = 1 AND dtype = 'uint8' AND categorical THEN 'categorical' WHEN band_count = 1 AND dtype IN ('uint8', 'uint16') THEN 'panchromatic' WHEN band_count = 1 AND dtype IN ('float32', 'float64') THEN 'dem' "
-    "WHEN band_count = 1 AND dtype = 'int16' THEN 'continuous' WHEN band_count = 3 THEN 'rgb' WHEN band_count >= 4 THEN 'multispectral' ELSE 'unknown' END AS raster_type, "
+    f"SELECT raster_id, CASE WHEN color_interp = 'rgb' AND band_count = 4 THEN 'rgba' WHEN color_interp = 'rgb' AND band_count >= 3 THEN 'rgb' "
+    "WHEN band_count = 1 AND dtype IN ('float32', 'float64') THEN 'dem' WHEN band_count = 1 AND dtype IN ('uint8', 'int8') AND categorical THEN 'categorical' "
+    "WHEN band_count = 1 AND dtype = 'uint8' THEN 'panchromatic' WHEN band_count = 1 THEN 'dem' WHEN band_count = 3 THEN 'rgb' WHEN band_count = 4 THEN 'rgba' WHEN band_count > 4 THEN 'multispectral' ELSE 'unknown' END AS raster_type, "
     f"round(width * height * band_count * CASE dtype WHEN 'uint8' THEN 1 WHEN 'uint16' THEN 2 WHEN 'int16' THEN 2 WHEN 'float32' THEN 4 ELSE 8 END * 3 / 1048576.0::DOUBLE, 6) AS memory_mb FROM ({_META})"
 )
 def raster_type(spark, sf):
@@ -495,11 +498,25 @@ def raster_overview(spark, sf):
     return R.level_one(X.pixels(spark, sf))
 
 
-@query(f"SELECT raster_id, 'analysis' AS quality, CASE raster_type WHEN 'dem' THEN 'bilinear' WHEN 'categorical' THEN 'mode' WHEN 'panchromatic' THEN 'nearest' ELSE 'average' END AS resampling, 'DEFLATE' AS compression, size_mb < 0.5 AS in_memory FROM (SELECT vec_id AS raster_id, ['rgb','dem','categorical','panchromatic'][vec_id % 4 + 1] AS raster_type, vec_id / 100.0::DOUBLE AS size_mb FROM embeddings)")
+_KINDS = ("rgb", "rgba", "dem", "categorical", "multispectral", "panchromatic", "unknown")
+_PACKING = {  # by quality, in the order of _KINDS
+    "visualization": ("JPEG", "WEBP", "DEFLATE", "DEFLATE", "DEFLATE", "JPEG", "DEFLATE"),
+    "analysis": ("DEFLATE",) * 7,
+    "archive": ("LZW", "LZW", "LERC_DEFLATE", "LZW", "LERC_DEFLATE", "LZW", "DEFLATE"),
+}
+
+
+@query(
+    "SELECT raster_id, quality, raster_type, CASE WHEN raster_type IN ('categorical', 'unknown') THEN 'nearest' ELSE 'bilinear' END AS resampling, compression, "
+    "CASE WHEN compression IN ('DEFLATE', 'LZW') AND raster_type <> 'categorical' THEN 2 END::INT AS predictor, size_mb < 0.5 AS in_memory FROM ("
+    + " UNION ALL ".join(f"SELECT vec_id AS raster_id, '{q}' AS quality, {list(_KINDS)}[vec_id % 7 + 1] AS raster_type, {list(p)}[vec_id % 7 + 1] AS compression, vec_id / 100.0::DOUBLE AS size_mb FROM embeddings" for q, p in _PACKING.items())
+    + ")"
+)
 def cog_plan(spark, sf):
     k = F.col("vec_id")
-    meta = X.table(spark, sf, "embeddings").select(k.alias("raster_id"), F.element_at(F.array(*map(F.lit, ("rgb", "dem", "categorical", "panchromatic"))), (k % 4 + 1).cast("int")).alias("raster_type"), (k / 100.0).alias("size_mb"))
-    return R.cog_plan(meta, "analysis", 0.5).select("raster_id", "quality", "resampling", "compression", "in_memory")
+    meta = X.table(spark, sf, "embeddings").select(k.alias("raster_id"), F.element_at(F.array(*map(F.lit, _KINDS)), (k % 7 + 1).cast("int")).alias("raster_type"), (k / 100.0).alias("size_mb"))
+    parts = [R.cog_plan(meta, q, 0.5) for q in _PACKING]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("raster_id", "quality", "raster_type", "resampling", "compression", "predictor", "in_memory")
 
 
 # --- joins, merges, summaries ---------------------------------------------------------------
@@ -739,7 +756,7 @@ def graph_distances_all(spark, sf):
     return distances(both_ways(_order_parts(spark, sf)), spark.range(1, 2).select(F.col("id").alias("node")))
 
 
-# --- geometry, without SQL ------------------------------------------------------------------
+# --- geometry ------------------------------------------------------------------
 
 
 def _shapes(spark, sf):
@@ -754,22 +771,66 @@ def _shapes(spark, sf):
     return X.table(spark, sf, "orders").select("o_orderkey", wkt.alias("wkt"))
 
 
-@query()
+_SHAPE_KEYS = "SELECT o_orderkey, o_orderkey % 4 AS kind, (o_orderkey % 340 - 170)::BIGINT AS x, (o_orderkey % 120 - 60)::BIGINT AS y, (o_orderkey % 340 - 155)::BIGINT AS x2, (o_orderkey % 120 - 57)::BIGINT AS y2 FROM orders"
+
+
+@query("SELECT o_orderkey, true AS same FROM orders")
 def wkb_roundtrip(spark, sf):
     from cellweave.functions.geometry import wkb_to_wkt, wkt_to_wkb
 
     return _shapes(spark, sf).select("o_orderkey", wkb_to_wkt(wkt_to_wkb("wkt")).eqNullSafe(F.col("wkt")).alias("same"))
 
 
-@query()
+# The ellipsoid's half axis and flattening.
+_HALF_AXIS, _FLAT = 6378137.0, 1 / 298.257223563
+_E2 = _FLAT * (2 - _FLAT)
+_E1 = _E2**0.5
+
+
+def _q_sql(lat: str) -> str:
+    s = f"sin(radians({lat}))"
+    return f"({1 - _E2!r}::DOUBLE * ({s} / (1 - {_E2!r}::DOUBLE * {s} * {s}) + atanh({_E1!r}::DOUBLE * {s}) / {_E1!r}::DOUBLE))"
+
+
+# The inverse problem on the ellipsoid for lines 15 degrees east and 3 north of a parallel y: the difference of longitude on the sphere converges in a few steps.
+_VINCENTY = f"""
+    p AS (SELECT y, atan({1 - _FLAT!r}::DOUBLE * tan(radians(y))) AS u, atan({1 - _FLAT!r}::DOUBLE * tan(radians(y + 3))) AS w FROM (SELECT DISTINCT y FROM k)),
+    v AS (
+        SELECT y, u, w, radians(15.0::DOUBLE) AS lam, 0 AS i FROM p
+        UNION ALL
+        SELECT y, u, w, radians(15.0::DOUBLE) + (1 - c) * {_FLAT!r}::DOUBLE * sa * (sg + c * ss * (cm + c * cs * (2 * cm * cm - 1))), i + 1 FROM (
+            SELECT *, {_FLAT!r}::DOUBLE / 16 * (1 - sa * sa) * (4 + {_FLAT!r}::DOUBLE * (4 - 3 * (1 - sa * sa))) AS c, cs - 2 * sin(u) * sin(w) / (1 - sa * sa) AS cm, atan2(ss, cs) AS sg FROM (
+                SELECT *, cos(u) * cos(w) * sin(lam) / ss AS sa FROM (
+                    SELECT *, sqrt(power(cos(w) * sin(lam), 2) + power(cos(u) * sin(w) - sin(u) * cos(w) * cos(lam), 2)) AS ss, sin(u) * sin(w) + cos(u) * cos(w) * cos(lam) AS cs FROM v WHERE i < 12)))
+    ),
+    e AS (
+        SELECT y, {_HALF_AXIS * (1 - _FLAT)!r}::DOUBLE * (1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))) * (sg - b * ss * (cm + b / 4 * (cs * (2 * cm * cm - 1) - b / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3)))) AS m FROM (
+            SELECT *, u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2))) AS b FROM (
+                SELECT *, (1 - sa * sa) * {_E2 / (1 - _E2)!r}::DOUBLE AS u2, cs - 2 * sin(u) * sin(w) / (1 - sa * sa) AS cm, atan2(ss, cs) AS sg FROM (
+                    SELECT *, cos(u) * cos(w) * sin(lam) / ss AS sa FROM (
+                        SELECT *, sqrt(power(cos(w) * sin(lam), 2) + power(cos(u) * sin(w) - sin(u) * cos(w) * cos(lam), 2)) AS ss, sin(u) * sin(w) + cos(u) * cos(w) * cos(lam) AS cs FROM v WHERE i = 12))))
+    )"""
+
+
+@query(
+    f"WITH RECURSIVE k AS ({_SHAPE_KEYS}), {_VINCENTY} SELECT o_orderkey, CASE kind WHEN 1 THEN round(m, 2) WHEN 3 THEN NULL ELSE 0 END AS length_m, "
+    f"CASE kind WHEN 0 THEN round({_HALF_AXIS**2 / 2!r}::DOUBLE * radians(15.0::DOUBLE) * ({_q_sql('k.y + 3')} - {_q_sql('k.y')}) / 1000000, 2) WHEN 3 THEN NULL ELSE 0 END AS area_km2, "
+    "CASE kind WHEN 3 THEN NULL WHEN 2 THEN x ELSE x + 7.5 END::DOUBLE AS x, CASE kind WHEN 3 THEN NULL WHEN 2 THEN k.y ELSE k.y + 1.5 END::DOUBLE AS y FROM k JOIN e ON e.y = k.y"
+)
 def geodesic_measures(spark, sf):
     from cellweave.functions import geometry as G
 
     g = _shapes(spark, sf).withColumn("g", G.wkt_to_wkb("wkt"))
-    return g.select("o_orderkey", F.round(G.st_length_m("g"), 3).alias("length_m"), F.round(G.st_area_m2("g"), 0).alias("area_m2"), G.centroid("g").alias("c")).select("o_orderkey", "length_m", "area_m2", "c.*")
+    g = g.select("o_orderkey", F.round(G.st_length_m("g"), 2).alias("length_m"), F.round(G.st_area_m2("g") / 1e6, 2).alias("area_km2"), G.centroid("g").alias("c"))
+    return g.select("o_orderkey", "length_m", "area_km2", F.round("c.x", 9).alias("x"), F.round("c.y", 9).alias("y"))
 
 
-@query()
+@query(
+    f"WITH k AS ({_SHAPE_KEYS}) SELECT * FROM (SELECT count(*)::BIGINT AS input_count, unnest([0, 1, 2, 3, 4, 5, 6, 7])::INT AS position, "
+    "unnest(['remove_nulls', 'repair_invalid', 'force_2d', 'fix_antimeridian', 'normalize_multi', 'fix_winding_order', 'validate_types', 'sanitize_datetimes']) AS stage, "
+    "unnest([count(*) FILTER (WHERE kind = 3), 0, 0, count(*) FILTER (WHERE kind IN (0, 1) AND x2 > 180), count(*) FILTER (WHERE kind < 3 AND (kind = 2 OR x2 <= 180)), count(*) FILTER (WHERE kind = 0), 0, 0])::BIGINT AS affected, "
+    "unnest([count(*) FILTER (WHERE kind = 3), 0, 0, 0, 0, 0, 0, 0])::BIGINT AS removed FROM k)"
+)
 def vector_clean_report(spark, sf):
     from cellweave.functions.geometry import wkt_to_wkb
     from cellweave.operators.vector import clean_geometries
@@ -777,10 +838,297 @@ def vector_clean_report(spark, sf):
     return clean_geometries(_shapes(spark, sf).withColumn("geom_wkb", wkt_to_wkb("wkt")).drop("wkt"))[1]
 
 
-@query()
+@query(
+    f"WITH k AS ({_SHAPE_KEYS}) SELECT o_orderkey, x2 > 180 AS split, CASE kind WHEN 2 THEN 'MULTIPOINT ((' || x || ' ' || y || '))' "
+    "WHEN 1 THEN CASE WHEN x2 <= 180 THEN 'MULTILINESTRING ((' || x || ' ' || y || ', ' || x2 || ' ' || y2 || '))' END "
+    "ELSE CASE WHEN x2 <= 180 THEN 'MULTIPOLYGON (((' || x || ' ' || y || ', ' || x2 || ' ' || y || ', ' || x2 || ' ' || y2 || ', ' || x || ' ' || y2 || ', ' || x || ' ' || y || ')))' END END AS wkt FROM k WHERE kind <> 3"
+)
 def vector_clean(spark, sf):
-    from cellweave.functions.geometry import wkb_to_wkt, wkt_to_wkb
+    """Shapes that cross 180 degrees are split, so only that they are is compared."""
+    from cellweave.functions.geometry import bounds, wkb_to_wkt, wkt_to_wkb
     from cellweave.operators.vector import clean_geometries
 
     rows = clean_geometries(_shapes(spark, sf).withColumn("geom_wkb", wkt_to_wkb("wkt")).drop("wkt"))[0]
-    return rows.select("o_orderkey", wkb_to_wkt("geom_wkb").alias("wkt"))
+    beyond = F.col("o_orderkey") % 340 - 155 > 180
+    inside = bounds("geom_wkb").alias("b")
+    rows = rows.select("o_orderkey", beyond.alias("split"), wkb_to_wkt("geom_wkb").alias("w"), inside)
+    whole = (F.col("b.west") >= -180) & (F.col("b.east") <= 180)
+    return rows.select("o_orderkey", "split", F.when(whole & (~F.col("split") | (F.col("o_orderkey") % 4 == 2)), F.col("w")).alias("wkt"))
+
+
+# --- the hexagon grid -----------------------------------------------------------------------
+
+#: Cells that the documentation of the grid states.
+_KNOWN = [
+    (37.3615593, -122.0553238, 5, "85283473fffffff"), (37.3615593, -122.0553238, 7, "87283472bffffff"), (37.7752702151959, -122.418307270836, 9, "8928308280fffff"), (40.689167, -74.044444, 10, "8a2a1072b59ffff"),
+]
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS cell" for *_, c in _KNOWN) + " ORDER BY cell")
+def hex_known_cells(spark, sf):
+    from cellweave.functions.hexgrid import hex_cell
+
+    rows = spark.createDataFrame(_KNOWN, "lat double, lon double, res int, known string")
+    parts = [rows.where(F.col("res") == r).select(C.cell_hex(hex_cell(F.col("lat"), F.col("lon"), r)).alias("cell")) for r in (5, 7, 9, 10)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query(f"SELECT event_id, 5 AS res, true AS returns, true AS near, true AS nests FROM ({X.POINTS})")
+def hex_locate(spark, sf):
+    """Every point's cell at level 5: its centre lies in it and near the point, and it is a child of its parent."""
+    from cellweave.functions.hexgrid import hex_cell, hex_center, hex_children
+
+    p = X.points(spark, sf).withColumn("cell", hex_cell(F.col("lat"), F.col("lon"), 5)).withColumn("c", hex_center(F.col("cell")))
+    p = p.withColumn("again", hex_cell(F.col("c.lat"), F.col("c.lon"), 5))
+    near = C.haversine_m(F.col("lat"), F.col("lon"), F.col("c.lat"), F.col("c.lon")) < 14_000
+    nests = F.array_contains(hex_children(C.cell_parent(F.col("cell"), 4), 5), F.col("cell"))
+    return p.select("event_id", C.cell_resolution(F.col("cell")).alias("res"), (F.col("again") == F.col("cell")).alias("returns"), near.alias("near"), nests.alias("nests"))
+
+
+@query(" UNION ALL ".join(f"SELECT {r} AS res, {2 + 120 * 7**r}::BIGINT AS cells, {2 + 120 * 7**r}::BIGINT AS ids, {12 * 6 + 7 * (2 + 120 * 7**r - 12)}::BIGINT AS children, 12::BIGINT AS pentagons" for r in range(4)))
+def hex_grid_counts(spark, sf):
+    """The whole globe at levels 0 to 3: numbers of cells, of their children, and of cells with six children."""
+    from functools import reduce
+
+    from cellweave.functions.hexgrid import hex_children
+    from cellweave.operators.cover import hex_grid
+
+    def level(r):
+        g = hex_grid(spark, r, south=-90.0, north=90.0).withColumn("k", hex_children(F.col("cell"), r + 1))
+        return g.agg(F.lit(r).alias("res"), F.count("*").alias("cells"), F.count_distinct("cell").alias("ids"), F.sum(F.size("k")).alias("children"), F.count_if(F.size("k") == 6).alias("pentagons"))
+
+    return reduce(DataFrame.unionByName, [level(r) for r in range(4)])
+
+
+@query("SELECT zone_id, true AS same FROM (" + X.ZONES + ")")
+def hex_polygon_cells(spark, sf):
+    """Level 3 cells of each zone's polygon, against those of the grid whose centres lie in the zone's rectangle."""
+    from cellweave.functions.geometry import wkt_to_wkb
+    from cellweave.operators.cover import hex_grid, polygon_to_cells
+
+    z = X.zones(spark, sf)
+    mine = polygon_to_cells(z.withColumn("geom_wkb", wkt_to_wkb(_ring())).select("zone_id", "geom_wkb"), "zone_id", 3).groupBy("zone_id").agg(F.count_distinct("cell").alias("n"), F.sum(F.col("cell") % 1_000_003).alias("t"))
+    want = J.rectangles_join(hex_grid(spark, 3).select("cell", "lat", "lon"), z, "lon", "lat", ["zone_id"]).groupBy("zone_id").agg(F.count("*").alias("m"), F.sum(F.col("cell") % 1_000_003).alias("u"))
+    return mine.join(want, "zone_id").select("zone_id", ((F.col("n") == F.col("m")) & (F.col("t") == F.col("u"))).alias("same"))
+
+
+def _ring():
+    """A zone's rectangle as text."""
+    w, s, e, n = (F.col(c).cast("string") for c in ("west", "south", "east", "north"))
+    sp, cm = F.lit(" "), F.lit(",")
+    return F.concat(F.lit("POLYGON(("), w, sp, s, cm, e, sp, s, cm, e, sp, n, cm, w, sp, n, cm, w, sp, s, F.lit("))"))
+
+
+@query(f"SELECT count(*)::BIGINT AS land FROM ({X.POINTS}) p JOIN ({X.ZONES}) ON zone_id % 2 = 0 AND lon > west AND lon < east AND lat > south AND lat < north")
+def land_polygons(spark, sf):
+    """Points in polygons that stand for land."""
+    from cellweave.functions.geometry import wkt_to_wkb
+
+    land = X.zones(spark, sf).where("zone_id % 2 = 0").withColumn("geom_wkb", wkt_to_wkb(_ring())).select("zone_id", "geom_wkb")
+    return J.feature_pairs(X.points(spark, sf).select(F.col("event_id").alias("cell"), "lon", "lat"), land, "zone_id").select("cell").distinct().agg(F.count("*").alias("land"))
+
+
+# --- polygon zones, rasters in an area ------------------------------------------------------
+
+#: Triangles over the rasters' 8 by 8 pixels (a pixel is one degree, row 0 on top): below, and above, the diagonal.
+_TRIANGLES = [(0, "POLYGON((0 0, 8 0, 0 8, 0 0))"), (1, "POLYGON((8 0, 8 8, 0 8, 8 0))")]
+
+
+def _placed(spark, sf):
+    return X.pixels(spark, sf).drop("zone_id").withColumns({"lon": F.col("col") + 0.5, "lat": 7.5 - F.col("row")})
+
+
+@query(f"SELECT raster_id, (CASE WHEN col < row THEN 0 ELSE 1 END)::INT AS zone_id, round(sum(v), 6) AS value, count(v)::BIGINT AS pixel_count, (count(*) - count(v))::BIGINT AS nodata_count FROM ({_VALID}) WHERE col <> row GROUP BY ALL")
+def zonal_polygons(spark, sf):
+    """Pixels whose centres lie in a triangle; those on the diagonal lie on an edge, so in neither."""
+    from cellweave.functions.geometry import wkt_to_wkb
+
+    zones = spark.createDataFrame(_TRIANGLES, "zone_id int, wkt string").select("zone_id", wkt_to_wkb("wkt").alias("geom_wkb"))
+    return _r(R.zonal_polygons(_placed(spark, sf), zones, "sum", nodata=X.NODATA, by=["raster_id"]), 6, "value")
+
+
+@query(f"SELECT raster_id, z::INT AS zone_id, count(v)::BIGINT AS pixel_count FROM ({_VALID}), range(2) r(z) WHERE CASE WHEN z = 0 THEN col <= row ELSE col >= row END GROUP BY ALL")
+def zonal_polygons_touched(spark, sf):
+    """With the pixels that an edge runs through: the diagonal belongs to both triangles."""
+    from cellweave.functions.geometry import wkt_to_wkb
+
+    inner = [(0, "POLYGON((0.1 0.1, 7.9 0.1, 0.1 7.9, 0.1 0.1))"), (1, "POLYGON((7.9 0.1, 7.9 7.9, 0.1 7.9, 7.9 0.1))")]
+    zones = spark.createDataFrame(inner, "zone_id int, wkt string").select("zone_id", wkt_to_wkb("wkt").alias("geom_wkb"))
+    out = R.zonal_polygons(_placed(spark, sf), zones, "count", nodata=X.NODATA, by=["raster_id"], touched=True, half_x=0.45, half_y=0.45)
+    return out.select("raster_id", "zone_id", "pixel_count")
+
+
+@query(
+    f"SELECT raster_id, round(100.0::DOUBLE * count(*) FILTER (WHERE ok AND (r + g + b) / 3 > 180 AND CASE WHEN greatest(r, g, b) > 0 THEN (greatest(r, g, b) - least(r, g, b)) / greatest(r, g, b) ELSE 0 END < 0.2) / nullif(count(*) FILTER (WHERE ok), 0), 1) AS cloud_pct, "
+    "(count(*) FILTER (WHERE ok))::BIGINT AS valid, round(100.0::DOUBLE * count(*) FILTER (WHERE ok) / count(*), 1) AS coverage_pct FROM "
+    f"(SELECT *, r IS NOT NULL AND g IS NOT NULL AND b IS NOT NULL AND NOT (r = 0 AND g = 0 AND b = 0) AS ok FROM (SELECT raster_id, row, col, max(value) FILTER (WHERE band = 1) AS r, max(value) FILTER (WHERE band = 2) AS g, max(value) FILTER (WHERE band = 3) AS b FROM ({_SCENE}) WHERE col < row GROUP BY ALL)) GROUP BY raster_id"
+)
+def cloud_cover_in_area(spark, sf):
+    """Cloud cover, coverage and valid pixels of the scenes within a triangle."""
+    from cellweave.functions.geometry import wkt_to_wkb
+
+    p = _placed(spark, sf)
+    scene = p.withColumns({"raster_id": F.floor(F.col("raster_id") / 3), "value": F.when(F.col("value") == X.NODATA, 0.0).otherwise(F.col("value") + 200)})
+    area = spark.createDataFrame(_TRIANGLES[:1], "k int, wkt string").select(wkt_to_wkb("wkt").alias("geom_wkb"))
+    return R.cloud_cover(scene, area=area).drop("brightness")
+
+
+@query(
+    "SELECT raster_id, CASE WHEN raster_id % 3 = 0 THEN 'no projection' WHEN west < -180 OR east > 180 THEN 'longitude out of range' END AS error, memory_mb FROM ("
+    f"SELECT raster_id, raster_id % 400 - 200 AS west, raster_id % 400 - 199 AS east, round(width * height * band_count * CASE dtype WHEN 'uint8' THEN 1 WHEN 'uint16' THEN 2 WHEN 'int16' THEN 2 WHEN 'float32' THEN 4 ELSE 8 END * 3 / 1048576.0::DOUBLE, 6) AS memory_mb FROM ({_META}))"
+)
+def raster_validation(spark, sf):
+    """The report of each raster: its first error and the memory that it needs."""
+    k = F.col("raster_id")
+    meta = _meta(spark, sf).drop("categorical").withColumns({"west": k % 400 - 200, "east": k % 400 - 199, "south": F.lit(0), "north": F.lit(1), "srid": F.when(k % 3 != 0, 4326)})
+    out = R.validate_rasters(meta, X.pixels(spark, sf), X.NODATA)
+    return out.select("raster_id", F.get("errors", 0).alias("error"), F.round("memory_mb", 6).alias("memory_mb"))
+
+
+@query("SELECT raster_id, cloud_pct FROM (" + "SELECT raster_id, CASE WHEN count(*) FILTER (WHERE ok) > 0 THEN round(100.0::DOUBLE * count(*) FILTER (WHERE ok AND (r + g + b) / 3 > 180 AND CASE WHEN greatest(r, g, b) > 0 THEN (greatest(r, g, b) - least(r, g, b)) / greatest(r, g, b) ELSE 0 END < 0.2) / count(*) FILTER (WHERE ok), 1) END AS cloud_pct FROM "
+    f"(SELECT *, r IS NOT NULL AND g IS NOT NULL AND b IS NOT NULL AND NOT (r = 0 AND g = 0 AND b = 0) AS ok FROM (SELECT raster_id, row, col, max(value) FILTER (WHERE band = 1) AS r, max(value) FILTER (WHERE band = 2) AS g, max(value) FILTER (WHERE band = 3) AS b FROM ({_SCENE}) GROUP BY ALL)) GROUP BY raster_id) WHERE cloud_pct <= 90")
+def clear_scenes(spark, sf):
+    p = X.pixels(spark, sf).withColumns({"raster_id": F.floor(F.col("raster_id") / 3), "value": F.when(F.col("value") == X.NODATA, 0.0).otherwise(F.col("value") + 200)})
+    return R.clear_scenes(p.select("raster_id").distinct(), p, 90.0).select("raster_id", "cloud_pct")
+
+
+@query(f"SELECT {_P4} AS cell, round_even(sum(o_orderkey / 8.0::DOUBLE), 2) AS weight FROM ({X.BUILDINGS}) GROUP BY 1")
+def rollup_digits(spark, sf):
+    """Outputs rounded half to even; eighths add up exactly."""
+    return rollup(X.buildings(spark, sf).withColumn("weight", F.col("o_orderkey") / 8.0), 4, {"weight": "sum"}, digits=2)
+
+
+# --- sources and sinks: written to the shared folder, read again ----------------------------
+
+
+def _place(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, which all executors share."""
+    import uuid
+
+    from cellweave.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
+_POINT_WKT = "'POINT (' || regexp_replace(lon::VARCHAR, '\\.0$', '') || ' ' || regexp_replace(lat::VARCHAR, '\\.0$', '') || ')'"
+
+
+@query(f"SELECT event_id, {_POINT_WKT} AS wkt FROM ({X.POINTS})")
+def csv_round_trip(spark, sf):
+    from cellweave.functions.geometry import wkb_to_wkt
+    from cellweave.sources.readers import read_csv
+
+    place = _place(spark, "csv")
+    X.points(spark, sf).select("event_id", "lat", "lon").write.option("header", True).csv(place)
+    return read_csv(spark, place).select(F.col("event_id").cast("long").alias("event_id"), wkb_to_wkt("geom_wkb").alias("wkt"))
+
+
+@query(f"SELECT event_id, {_POINT_WKT} AS wkt, class FROM ({X.POINTS})")
+def geojson_round_trip(spark, sf):
+    from cellweave.functions.geometry import geojson_to_wkb, point_wkb, wkb_to_wkt
+    from cellweave.sources.sinks import to_geojson
+
+    place = _place(spark, "geojson")
+    to_geojson(X.points(spark, sf).select("event_id", "class", point_wkb("lon", "lat").alias("geom_wkb"))).write.text(place)
+    rows = spark.read.text(place).select(F.from_json("value", "geometry string, properties struct<event_id long, class string>").alias("f"))
+    return rows.select("f.properties.event_id", "f.properties.class", wkb_to_wkt(geojson_to_wkb("f.geometry")).alias("wkt"))
+
+
+@query(f"SELECT raster_id::VARCHAR AS raster_id, count(v)::BIGINT AS n, sum(v) AS total, sum(v * (row * 8 + col)) AS moment FROM ({_VALID}) GROUP BY raster_id")
+def tiff_round_trip(spark, sf):
+    """Rasters as GeoTIFF tiles of five by five pixels, read back and put together."""
+    from cellweave.sources.readers import tiff_pixels
+    from cellweave.sources.sinks import tile_tiffs
+
+    tiles = tile_tiffs(X.pixels(spark, sf), 5, 0.0, 8.0, 1.0, 1.0, X.NODATA)
+
+    def read(frames):
+        for pdf in frames:
+            for raster, raw in zip(pdf["raster_id"], pdf["content"], strict=True):
+                t = tiff_pixels(bytes(raw))
+                h, w, _ = t["data"].shape
+                at = range(h * w)
+                yield pd.DataFrame({"raster_id": raster, "row": [round(8 - t["top"]) + i // w for i in at], "col": [round(t["left"]) + i % w for i in at], "value": t["data"][:, :, 0].astype(float).ravel()})
+
+    p = tiles.select("raster_id", "content").mapInPandas(read, "raster_id string, row int, col int, value double").where(F.col("value") != X.NODATA)
+    return p.groupBy("raster_id").agg(F.count("*").alias("n"), F.sum("value").alias("total"), F.sum(F.col("value") * (F.col("row") * 8 + F.col("col"))).alias("moment"))
+
+
+@query(f"SELECT raster_id::VARCHAR AS raster_id, 'dem' AS raster_type, 'DEFLATE' AS compression, 'bilinear' AS resampling, 2::INT AS overviews, sum(CASE WHEN v IS NULL THEN 0 ELSE v END) AS total FROM ({_VALID}) GROUP BY raster_id")
+def cog_round_trip(spark, sf):
+    """Every raster as a cloud-optimised copy in tiles of two by two pixels, with two overviews, read back."""
+    from cellweave.sources import tiff
+    from cellweave.sources.sinks import cog_copies, tile_tiffs
+
+    files = tile_tiffs(X.pixels(spark, sf), 8, 0.0, 8.0, 1.0, 1.0, X.NODATA).select(F.col("raster_id").alias("path"), "content")
+
+    @F.pandas_udf("double")
+    def total(values: pd.Series) -> pd.Series:
+        out = []
+        for raw in values:
+            raw = bytes(raw)
+            image = tiff.images(raw)[0]
+            data = tiff.read_window(raw, image)
+            out.append(float(data[data != image.nodata].sum()))
+        return pd.Series(out)
+
+    return cog_copies(files, block=2, levels=6).select(F.col("path").alias("raster_id"), "raster_type", "compression", "resampling", "overviews", total("content").alias("total"))
+
+
+@query("SELECT o_orderstatus, count(*)::BIGINT AS n, sum(o_orderkey)::BIGINT AS keys FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_orderstatus")
+def partitioned_round_trip(spark, sf):
+    """Orders in a folder for each status; a filter on it reads only its folders."""
+    from cellweave.sources.sinks import write_partitioned
+
+    place = _place(spark, "partitioned")
+    write_partitioned(X.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), place, ["o_orderstatus"])
+    return spark.read.parquet(place).where("o_orderstatus <> 'P'").groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@query("SELECT c_custkey, c_acctbal::FLOAT AS c_acctbal FROM customer")
+def sorted_round_trip(spark, sf):
+    """Customers as floats in the order of their keys, then as two files."""
+    from cellweave.sources.sinks import compact, float_sink, write_sorted
+
+    one, two = _place(spark, "sorted"), _place(spark, "compact")
+    write_sorted(float_sink(X.table(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").cast("double").alias("c_acctbal"))), one, "c_custkey", 4)
+    compact(spark, one, two, "c_custkey", 2)
+    return spark.read.parquet(two).select("c_custkey", "c_acctbal")
+
+
+@query(f"SELECT n_name AS id, -180.0::DOUBLE + 72 * (n_nationkey % 5) AS west, -33.0::DOUBLE + 27 * (n_nationkey // 5) AS north FROM nation WHERE -180 + 72 * (n_nationkey % 5) <= 10 AND -108 + 72 * (n_nationkey % 5) >= 0 AND -60 + 27 * (n_nationkey // 5) <= 20 AND -33 + 27 * (n_nationkey // 5) >= 0")
+def stac_round_trip(spark, sf):
+    """Items of the zones, written, read as a search result and searched by a box."""
+    from cellweave.sources.readers import search_items, stac_items
+    from cellweave.sources.sinks import stac_items as items
+
+    place = _place(spark, "stac")
+    z = X.zones(spark, sf).withColumns({"raster_id": F.col("name"), "href": F.concat("name", F.lit(".tif"))})
+    one = items(z).agg(F.concat(F.lit('{"features":['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("value"))
+    one.coalesce(1).write.text(place)
+    found = search_items(stac_items(spark, place), bbox=(0.0, 0.0, 10.0, 20.0))
+    return found.select("id", F.get("bbox", 0).alias("west"), F.get("bbox", 3).alias("north"))
+
+
+@query("SELECT user_id % 50 AS cell, count(*)::BIGINT AS poi_count FROM events GROUP BY 1")
+def stream_ingest(spark, sf):
+    """Events as a stream of files; each batch adds its counts, and the totals are those of the whole table."""
+    from cellweave.streaming.ingest import ingest, totals
+
+    source, out, state = _place(spark, "stream-in"), _place(spark, "stream-out"), _place(spark, "stream-state")
+    X.table(spark, sf, "events").select((F.col("user_id") % 50).alias("cell")).repartition(4).write.parquet(source)
+    stream = spark.readStream.schema("cell long").option("maxFilesPerTrigger", 2).parquet(source)
+    ingest(stream, A.place_counts, out, state).awaitTermination()
+    return totals(spark, out)
+
+
+@query("SELECT stage, count(*)::BIGINT AS n, max(seconds) AS slowest FROM (SELECT event_type AS stage, value AS seconds FROM events) GROUP BY stage")
+def metrics_round_trip(spark, sf):
+    from cellweave.sources.sinks import append_metrics
+
+    place = _place(spark, "metrics")
+    e = X.table(spark, sf, "events").select(F.col("event_type").alias("stage"), F.col("value").alias("seconds"), "event_id")
+    for part in (0, 1):
+        append_metrics(e.where(F.col("event_id") % 2 == part), place)
+    return spark.read.schema("stage string, seconds double").json(place).groupBy("stage").agg(F.count("*").alias("n"), F.max("seconds").alias("slowest"))

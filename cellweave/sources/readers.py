@@ -8,7 +8,6 @@ import os
 import re
 import sqlite3
 import struct
-import tempfile
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
@@ -22,6 +21,7 @@ from pyspark.sql import types as T
 from cellweave.errors import FormatError, GeometryError
 from cellweave.functions import geometry as G
 from cellweave.session import ship
+from cellweave.sources import tiff
 
 #: Column names that are taken for geometry and coordinates, in this order.
 WKT_NAMES = ("geometry", "wkt", "geom", "the_geom")
@@ -420,49 +420,14 @@ def read_netcdf(spark: SparkSession, path: str, variable: str | None = None) ->
     return _binary(spark, path).mapInPandas(run, "lat double, lon double, value double")
 
 
-_TIFF_SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 11: 4, 12: 8, 16: 8}
-_TIFF_CODE = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q"}
-
-
-def tiff_pixels(raw: bytes) -> dict:
-    """Bands, data, transform and nodata of a strip or tile TIFF without compression or with deflate."""
-    import zlib
-
-    order = {b"II": "<", b"MM": ">"}.get(raw[:2])
-    if order is None or struct.unpack(order + "H", raw[2:4])[0] != 42:
-        raise FormatError("not a TIFF file")
-    (at,) = struct.unpack(order + "I", raw[4:8])
-    tags: dict[int, tuple] = {}
-    for i in range(struct.unpack(order + "H", raw[at : at + 2])[0]):
-        e = at + 2 + 12 * i
-        tag, kind, n = struct.unpack(order + "HHI", raw[e : e + 8])
-        size = _TIFF_SIZE.get(kind, 1) * n
-        place = e + 8 if size <= 4 else struct.unpack(order + "I", raw[e + 8 : e + 12])[0]
-        body = raw[place : place + size]
-        tags[tag] = (body.split(b"\0")[0].decode("latin-1"),) if kind == 2 else struct.unpack(f"{order}{n}{_TIFF_CODE[kind]}", body) if kind in _TIFF_CODE else (body,)
-    width, height, bands = tags[256][0], tags[257][0], tags.get(277, (1,))[0]
-    bits, form = tags.get(258, (8,))[0], tags.get(339, (1,))[0]
-    dtype = np.dtype(order + {1: "u", 2: "i", 3: "f"}[form] + str(bits // 8))
-    packing, planar, predictor = tags.get(259, (1,))[0], tags.get(284, (1,))[0], tags.get(317, (1,))[0]
-    if packing not in (1, 8, 32946) or predictor not in (1, 2) or planar == 2 and bands > 1:
-        raise FormatError("compression or layout is not supported")
-    tiled = 322 in tags
-    tw, th = (tags[322][0], tags[323][0]) if tiled else (width, tags.get(278, (height,))[0])
-    offsets, counts = (tags[324], tags[325]) if tiled else (tags[273], tags[279])
-    out, across = np.zeros((height, width, bands), dtype), -(-width // tw)
-    for i, (o, n) in enumerate(zip(offsets, counts, strict=True)):
-        body = raw[o : o + n] if packing == 1 else zlib.decompress(raw[o : o + n])
-        r, c = (i // across) * th, (i % across) * tw
-        rows = th if tiled else min(th, height - r)
-        block = np.frombuffer(body, dtype, rows * tw * bands).reshape(rows, tw, bands)
-        block = np.cumsum(block, axis=1, dtype=dtype) if predictor == 2 else block
-        h, w = min(rows, height - r), min(tw, width - c)
-        out[r : r + h, c : c + w] = block[:h, :w]
-    scale, tie = tags.get(33550, (1.0, 1.0, 0.0)), tags.get(33922, (0.0,) * 6)
-    keys = tags.get(34735, ())
-    srid = next((keys[k + 3] for k in range(4, len(keys) - 3, 4) if keys[k] in (2048, 3072)), None)
-    nodata = float(tags[42113][0]) if 42113 in tags and tags[42113][0].strip() else None
-    return {"data": out, "left": tie[3] - tie[0] * scale[0], "top": tie[4] + tie[1] * scale[1], "res_x": scale[0], "res_y": scale[1], "srid": srid, "nodata": nodata, "dtype": dtype.name}
+def tiff_pixels(raw: bytes, window: tuple[int, int, int, int] | None = None) -> dict:
+    """Data of a TIFF (of a window of rows and columns, from and to), its place, nodata and data type."""
+    image = tiff.images(raw)[0]
+    r0, _, c0, _ = window or (0, 0, 0, 0)
+    return {
+        "data": tiff.read_window(raw, image, window), "left": image.left + c0 * image.res_x, "top": image.top - r0 * image.res_y, "res_x": image.res_x, "res_y": image.res_y,
+        "srid": image.srid, "nodata": image.nodata, "dtype": image.dtype.name,
+    }
 
 
 def write_tiff(data: np.ndarray, left: float, top: float, res_x: float, res_y: float, nodata: float | None = None, srid: int = 4326, deflate: bool = True) -> bytes:
@@ -497,35 +462,35 @@ def write_tiff(data: np.ndarray, left: float, top: float, res_x: float, res_y: f
     return b"II*\0" + struct.pack("<IH", 8, len(heads)) + b"".join(struct.pack("<HHI", *x[:3]) + x[3] for x in heads) + b"\0\0\0\0" + extra + body
 
 
-def read_tiff(spark: SparkSession, path: str) -> DataFrame:
-    """Pixels of GeoTIFF files: ``raster_id, band, row, col, lon, lat, value``, nodata as null; a file is one task."""
+def read_tiff(spark: SparkSession, path: str, window: tuple[int, int, int, int] | None = None) -> DataFrame:
+    """Pixels of GeoTIFF files: ``raster_id, band, row, col, lon, lat, value``, nodata as null.
+
+    Strips and tiles, plain, deflated or LZW, classic and big files. A file is one task, which
+    unpacks one block at a time; with ``window`` (rows and columns, from and to) only blocks that meet it.
+    """
     ship(spark)
 
     def run(frames):
         for pdf in frames:
             for name, raw in zip(pdf["path"], pdf["content"], strict=True):
-                t = tiff_pixels(bytes(raw))
-                h, w, n = t["data"].shape
-                rows, cols = np.divmod(np.arange(h * w), w)
-                for b in range(n):
-                    v = t["data"][:, :, b].astype(float).ravel()
-                    gone = np.isnan(v) if t["nodata"] is None or t["nodata"] != t["nodata"] else np.isclose(v, t["nodata"]) | np.isnan(v)
-                    yield pd.DataFrame({
-                        "raster_id": os.path.basename(name), "band": b + 1, "row": rows, "col": cols, "lon": t["left"] + (cols + 0.5) * t["res_x"], "lat": t["top"] - (rows + 0.5) * t["res_y"],
-                        "value": pd.Series(v).where(~gone, None),
-                    })
+                raw = bytes(raw)
+                t = tiff.images(raw)[0]
+                for r0, c0, first, block in tiff.blocks(raw, t, window):
+                    h, w, n = block.shape
+                    rows, cols = np.divmod(np.arange(h * w), w)
+                    rows, cols = rows + r0, cols + c0
+                    for b in range(n):
+                        v = block[:, :, b].astype(float).ravel()
+                        gone = np.isnan(v) if t.nodata is None or t.nodata != t.nodata else np.isclose(v, t.nodata) | np.isnan(v)
+                        yield pd.DataFrame({
+                            "raster_id": os.path.basename(name), "band": first + b + 1, "row": rows, "col": cols, "lon": t.left + (cols + 0.5) * t.res_x, "lat": t.top - (rows + 0.5) * t.res_y,
+                            "value": pd.Series(v).where(~gone, None),
+                        })
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(run, "raster_id string, band int, row int, col int, lon double, lat double, value double")
 
 
-def stage_local(raw: bytes, suffix: str) -> str:
-    """A scratch copy for libraries that only read paths, on the machine that calls this."""
-    with tempfile.NamedTemporaryFile(suffix=suffix, delete=False) as f:
-        f.write(raw)
-    return f.name
-
-
 # --- catalogs -------------------------------------------------------------------------------
 
 

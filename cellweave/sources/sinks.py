@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cellweave.errors import FormatError, RasterError
 from cellweave.functions import geometry as G
+from cellweave.sources import tiff
 from cellweave.sources.readers import GEOM, write_tiff
 
 
@@ -25,8 +26,11 @@ def write_sorted(df: DataFrame, path: str, key: str, partitions: int | None = No
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "errorifexists") -> None:
-    """One folder for each value; rows are dealt out by them and a salt, so a large value has several files."""
-    df.withColumn("__s", (F.rand(7) * 8).cast("int")).repartition(*by, "__s").drop("__s").write.mode(mode).partitionBy(*by).parquet(path)
+    """One folder for each value; rows are dealt out by them and a hash of the row, so a large value has several files.
+
+    The hash is the same when a task is repeated, so no row is lost or doubled by a retry.
+    """
+    df.withColumn("__s", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(8)).cast("int")).repartition(*by, "__s").drop("__s").write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def compact(spark: SparkSession, source: str, target: str, key: str, files: int) -> None:
@@ -92,6 +96,46 @@ def tile_tiffs(pixels: DataFrame, size: int, left: float, top: float, res_x: flo
     return tiles.groupBy("raster_id", "band", "tile_id").applyInPandas(run, "raster_id string, band int, tile_id string, content binary")
 
 
+#: Compressions that are written here; of others of the policy, a copy is deflated and says so.
+WRITTEN = ("DEFLATE", "NONE")
+
+
+def cog_copies(files: DataFrame, quality: str = "analysis", block: int = 512, levels: int = 6) -> DataFrame:
+    """Cloud-optimised copies of TIFF files (``path, content``): ``path, raster_type, planned, compression, resampling, overviews, content``.
+
+    Type, compression and resampling follow the policy; ``planned`` is what it asks for, and
+    ``compression`` what the copy has (see ``WRITTEN``). A file is one row and one task; files that can't
+    be read raise an error. Write ``content`` by rows, or go on with ``read_tiff``'s functions.
+    """
+    from cellweave.operators.raster import BILINEAR, COG_POLICY
+    from cellweave.session import ship
+
+    ship(files.sparkSession)
+    policy = {kind: (packing, predictor) for kind, q, packing, predictor, _ in COG_POLICY if q == quality}
+
+    def kind_of(data: np.ndarray, nodata: float | None) -> str:
+        n, dtype = data.shape[2], data.dtype.name
+        if n > 1:
+            return {3: "rgb", 4: "rgba"}.get(n, "multispectral" if n > 4 else "unknown")
+        if dtype in ("uint8", "int8"):
+            head = data[:1024, :1024, 0]
+            return "categorical" if len(np.unique(head if nodata is None else head[head != nodata])) < 256 else "panchromatic" if dtype == "uint8" else "dem"
+        return "dem"
+
+    def run(frames):
+        for pdf in frames:
+            for path, raw in zip(pdf["path"], pdf["content"], strict=True):
+                image = tiff.images(bytes(raw))[0]
+                data = tiff.read_window(bytes(raw), image)
+                kind = kind_of(data, image.nodata)
+                planned, predictor = policy.get(kind, ("DEFLATE", 2))
+                how = "bilinear" if kind in BILINEAR else "nearest"
+                body = tiff.write_cog(data, image.left, image.top, image.res_x, image.res_y, image.nodata, image.srid or 4326, block, levels, how, planned != "NONE", predictor)
+                yield pd.DataFrame([[path, kind, planned, planned if planned in WRITTEN else "DEFLATE", how, len(tiff.images(body)) - 1, body]], columns=["path", "raster_type", "planned", "compression", "resampling", "overviews", "content"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, raster_type string, planned string, compression string, resampling string, overviews int, content binary")
+
+
 def mosaic_json(assets: DataFrame, zoom: int = 5, path: str = "path") -> dict:
     """A mosaic document: assets (``path, west, south, east, north``) by the web-map tile of their centre.
 

@@ -30,6 +30,14 @@ def test_locate_is_consistent_with_parents_and_boxes(spark, where):
         assert r["b"]["west"] - 1e-9 <= x <= r["b"]["east"] + 1e-9
 
 
+def test_cells_nest_on_a_grid_with_edges(spark):
+    grid = spark.range(4860).select((F.col("id") % 54 * 3.0 - 81.0).alias("lat"), (F.floor(F.col("id") / 54) * 4.0 - 180.0).alias("lon"))
+    lat, lon = F.col("lat"), F.col("lon")
+    cells = grid.select(*[C.cell_at(lat, lon, r).alias(f"c{r}") for r in range(8)])
+    bad = [(C.cell_parent(F.col(f"c{r}"), s) != F.col(f"c{s}")) for r in range(8) for s in range(r)]
+    assert cells.agg(*[F.count_if(b) for b in bad]).head() == (0,) * len(bad)
+
+
 def test_parents_compose_and_children_return(spark):
     df = spark.range(0, 200000, 997).select(C.cell_from_key(F.col("id")).alias("c"))
     two = C.cell_parent(C.cell_parent(F.col("c"), 4), 3)

@@ -11,11 +11,11 @@ from cellweave.sources import http
 
 def test_polygons_become_cells(spark):
     p = spark.createDataFrame([(1, "POLYGON ((0 0, 20 0, 20 20, 0 20, 0 0))"), (2, None)], "id long, wkt string").withColumn("geom_wkb", G.wkt_to_wkb("wkt")).drop("wkt")
-    got = cover.polygon_to_cells(p, "id", 2)
+    got = cover.polygon_to_cells(p, "id", 2, grid="box")
     want = grid_cells(spark, 2).where("lon > 0 and lon < 20 and lat > 0 and lat < 20").select("cell")
     assert sorted(r["cell"] for r in got.collect()) == sorted(r["cell"] for r in want.collect())
-    assert cover.cells_on(grid_cells(spark, 2), p, 2).count() == want.count() > 0
-    out = cover.with_boundaries(cover.with_centroids(got, 2), 2).withColumn("c", G.centroid("geom_wkb"))
+    assert cover.cells_on(grid_cells(spark, 2), p, 2, grid="box").count() == want.count() > 0
+    out = cover.with_boundaries(cover.with_centroids(got, 2, grid="box"), 2, grid="box").withColumn("c", G.centroid("geom_wkb"))
     assert out.where((F.abs(F.col("c.x") - F.col("lon")) > 1e-9) | (F.abs(F.col("c.y") - F.col("lat")) > 1e-9)).isEmpty()
 
 

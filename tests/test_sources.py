@@ -3,17 +3,19 @@ import os
 import sqlite3
 import struct
 import zipfile
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.config import BatchConfig, RasterConfig, Settings, ThemeConfig, Tier
+from cellweave.config import BatchConfig, CogConfig, Quality, Settings, ThemeConfig, Tier, TilingConfig
 from cellweave.errors import ConfigError, FormatError, RasterError, StorageError
 from cellweave.functions import geometry as G
 from cellweave.operators.raster import first_time, sample_axis, tile_grid
 from cellweave.sources import readers as R
 from cellweave.sources import sinks as W
+from cellweave.sources import tiff
 from cellweave.sources.storage import Storage, file_records
 
 
@@ -112,6 +114,86 @@ def test_tiff_both_ways(spark, tmp_path):
         R.tiff_pixels(b"raster")
 
 
+def lzw(data):
+    """A plain LZW writer, to have files to read."""
+    out, held, bits, width, table = bytearray(), 0, 0, 9, {}
+
+    def put(code):
+        nonlocal held, bits
+        held, bits = held << width | code, bits + width
+        while bits >= 8:
+            out.append(held >> bits - 8 & 255)
+            bits -= 8
+            held &= (1 << bits) - 1
+
+    def clear():
+        nonlocal width, table
+        put(256)
+        width, table = 9, {bytes((i,)): i for i in range(256)} | {b"clear": 256, b"end": 257}
+
+    clear()
+    word = b""
+    for b in data:
+        if word + bytes((b,)) in table:
+            word += bytes((b,))
+            continue
+        put(table[word])
+        table[word + bytes((b,))] = len(table)
+        if len(table) == 4095:
+            clear()
+        elif len(table) >= 1 << width:
+            width += 1
+        word = bytes((b,))
+    if word:
+        put(table[word])
+    put(257)
+    if bits:
+        out.append(held << 8 - bits & 255)
+    return bytes(out)
+
+
+def test_lzw_and_windows():
+    rng = np.random.default_rng(0)
+    for data in (b"", b"a" * 10_000, bytes(rng.integers(0, 4, 30_000, dtype=np.uint8)), bytes(rng.integers(0, 256, 60_000, dtype=np.uint8))):
+        assert tiff.lzw_decode(lzw(data)) == data
+    with pytest.raises(FormatError):
+        tiff.lzw_decode(bytes((1, 2, 3)))
+    data = rng.integers(0, 200, (37, 53, 3)).astype("u2")
+    raw = tiff.write_cog(data, 10.0, 50.0, 0.5, 0.25, 199.0, block=16, predictor=2)
+    image, *overviews = tiff.images(raw)
+    assert (image.width, image.height, image.bands, image.left, image.top, image.nodata, image.srid) == (53, 37, 3, 10.0, 50.0, 199.0, 4326)
+    assert [(o.width, o.height) for o in overviews] == [(27, 19), (14, 10)]
+    assert (tiff.read_window(raw, image) == data).all() and (tiff.read_window(raw, image, (5, 30, 17, 100)) == data[5:30, 17:]).all()
+    assert len(list(tiff.blocks(raw, image, (0, 16, 0, 16)))) == 1
+    assert (tiff.read_window(raw, overviews[0])[:-1, :-1] == tiff.halve(data, 199.0, "bilinear")[:-1, :-1]).all()
+    part = R.tiff_pixels(raw, (5, 30, 17, 100))
+    assert (part["left"], part["top"], part["data"].shape) == (18.5, 48.75, (25, 36, 3))
+    assert tiff.halve(np.array([[1.0, -9.0], [3.0, -9.0]])[:, :, None], -9.0, "bilinear").item() == 2.0
+
+
+def test_lzw_and_big_files(spark, tmp_path):
+    data = np.arange(35, dtype="u1").reshape(5, 7)
+    body = lzw(data.tobytes())
+    tags = [(256, 4, 7), (257, 4, 5), (258, 3, 8), (259, 3, 5), (277, 3, 1), (278, 4, 5), (339, 3, 1)]
+    small = b"II*\0" + struct.pack("<IH", 8, 9)
+    at = 8 + 2 + 12 * 9 + 4
+    for tag, kind, value in sorted([*tags, (273, 4, at), (279, 4, len(body))]):
+        small += struct.pack("<HHII", tag, kind, 1, value)
+    (tmp_path / "a.tif").write_bytes(small + b"\0" * 4 + body)
+    big = b"II" + struct.pack("<HHHQQ", 43, 8, 0, 16, 9)
+    at = 16 + 8 + 20 * 9 + 8
+    for tag, kind, value in sorted([*tags, (273, 16, at), (279, 16, len(body))]):
+        big += struct.pack("<HHQQ", tag, kind, 1, value)
+    (tmp_path / "b.tif").write_bytes(big + b"\0" * 8 + body)
+    rows = R.read_tiff(spark, str(tmp_path / "*.tif")).groupBy("raster_id").agg(F.sum("value"), F.max(F.struct("row", "col"))).collect()
+    assert sorted((r[0], r[1], tuple(r[2])) for r in rows) == [("a.tif", 595.0, (4, 6)), ("b.tif", 595.0, (4, 6))]
+    assert R.read_tiff(spark, str(tmp_path / "a.tif"), window=(1, 3, 2, 4)).count() == 4
+    files = spark.read.format("binaryFile").load(str(tmp_path / "a.tif"))
+    copy = W.cog_copies(files, "archive").head()
+    assert (copy["raster_type"], copy["planned"], copy["compression"], copy["resampling"]) == ("categorical", "LZW", "DEFLATE", "nearest")
+    assert (R.tiff_pixels(bytes(copy["content"]))["data"][:, :, 0] == data).all()
+
+
 def test_netcdf(spark, tmp_path):
     def name(s):
         return struct.pack(">i", len(s)) + s.encode().ljust(-(-len(s) // 4) * 4, b"\0")
@@ -188,11 +270,20 @@ def test_storage(spark, tmp_path):
 
 def test_config(monkeypatch):
     assert Settings().srid == 4326 and BatchConfig().zone_chunk_size == 5000
-    for bad in (lambda: BatchConfig(zone_chunk_size=5), lambda: RasterConfig(tile_size=64, overlap=64), lambda: ThemeConfig(resolution=16)):
+    for bad in (lambda: BatchConfig(zone_chunk_size=5), lambda: TilingConfig(tile_size=256, overlap=256), lambda: CogConfig(blocksize=64), lambda: BatchConfig(max_workers=0), lambda: ThemeConfig(resolution=16)):
         with pytest.raises(ConfigError):
             bad()
     monkeypatch.setenv("CELLWEAVE_RESOLUTION", "7")
     assert ThemeConfig.from_env().resolution == 7
+    monkeypatch.setenv("CELLWEAVE_BLOCKSIZE", "1024")
+    monkeypatch.setenv("CELLWEAVE_QUALITY", "archive")
+    cog = CogConfig.from_env()
+    assert (cog.blocksize, cog.quality, cog.overview_level, cog.max_memory_mb) == (1024, Quality.ARCHIVE, 6, 4096)
+    assert (TilingConfig().tile_size, TilingConfig().overlap, TilingConfig().output_format, BatchConfig().chunk_size) == (1024, 0, "tif", 1)
+    assert BatchConfig().max_workers >= 1 and [q.value for q in Quality] == ["visualization", "analysis", "archive"]
+    home = Path.home() / "geodata"
+    assert [Settings().base_dir, Settings().bronze_dir, Settings().silver_dir, Settings().gold_dir] == [home, home / "bronze", home / "silver", home / "gold"]
+    assert Settings(base_dir="/x", gold_dir="/y").gold_dir == Path("/y") and Settings(base_dir="/x").silver_dir == Path("/x/silver") and Settings().log_level == "INFO"
 
 
 def test_tiles_refuse_endless_overlap(spark):
