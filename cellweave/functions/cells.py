@@ -78,7 +78,8 @@ def cell_at(lat: Column, lon: Column, res: int) -> Column:
     """The rectangle cell of a position. Longitude wraps, latitude 90 is in the top row; nulls and NaN give null."""
     check_resolution(res)
     across, up = _splits(MAX_RESOLUTION)
-    col = F.pmod(F.floor((lon + 180.0) / BASE_WIDTH * float(across)).cast("long"), F.lit(BASE_COLUMNS * across))
+    col = F.floor((lon + 180.0) / BASE_WIDTH * float(across)).cast("long")
+    col = F.pmod(F.when(lon < 180, F.least(col, F.lit(BASE_COLUMNS * across - 1))).otherwise(col), F.lit(BASE_COLUMNS * across))
     row = F.least(F.greatest(F.floor((lat + 90.0) / BASE_HEIGHT * float(up)).cast("long"), F.lit(0)), F.lit(BASE_ROWS * up - 1))
     # column and row of the finest cell, so that the cell of any resolution is an ancestor of the finer ones
     whole = lambda x, parts: F.floor(x / parts).cast("long")

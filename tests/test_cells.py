@@ -1,5 +1,5 @@
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -18,6 +18,7 @@ def test_bits_of_a_known_id(spark):
 
 
 @settings(max_examples=8, deadline=None)
+@example([(0.0, 179.99999999999997), (36.0, 0.0), (90.0, 180.0)])
 @given(st.lists(st.tuples(st.floats(-90, 90), st.floats(-180, 180)), min_size=1, max_size=30))
 def test_locate_is_consistent_with_parents_and_boxes(spark, where):
     df = spark.createDataFrame(where, "lat double, lon double")
