@@ -136,7 +136,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     )
     found = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).join(F.broadcast(chosen), "k").where(F.col("t").isNotNull())
     one = F.min_by("t", F.struct(F.xxhash64("t"), F.col("t"))).alias("t")
-    tasks = max(8, spark.sparkContext.defaultParallelism)  # else the small sample is put together into one task
+    tasks = max(32, 4 * spark.sparkContext.defaultParallelism)  # else the small sample is put together into one task
     sample = cut(found.groupBy("k").agg(F.max("y").alias("y"), one).repartition(tasks, "k"))
 
     def marks(batch):
