@@ -4,7 +4,8 @@ Every set is embedded as ``COORDINATES`` minima of its shingles. A run gives eac
 of paths: from a path, each minimum is chosen with chance 1 / (similarity * COORDINATES), so
 sets at the threshold share one child on average and unlike ones hardly any. A bucket (all
 sets at one path) of up to ``SMALL`` sets is compared in full; a larger one is split again, up
-to ``DEPTH`` times, and what is then still large is compared in blocks. ``runs_for`` gives the
+to ``DEPTH`` times, if that moves fewer rows than comparing it in blocks, as is done with what
+can't be split with profit (sets that are all alike stay together). ``runs_for`` gives the
 number of runs that reaches the target recall at the greatest depth, with all that can lose a
 pair: the paths, that all runs share one set of minima, and the least agreement of likely pairs.
 
@@ -28,6 +29,8 @@ from cellweave.session import cut, ship
 COORDINATES, SMALL, BLOCK, DEPTH, RECALL = 64, 1024, 256, 3, 0.99999
 #: Representatives whose texts are fetched by a broadcast of their keys (8 bytes each); more are joined by shuffle.
 BROADCAST_KEYS = 2_000_000
+#: Sets of a large bucket by whose children it is judged whether a split pays; links don't depend on the verdict.
+TRIED = 512
 
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240607))
@@ -162,11 +165,31 @@ def _first_paths(nodes: DataFrame, runs: int, similarity: float) -> DataFrame:
 
 
 def _next_paths(rows: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Children of rows (a, b, p, m): their paths ``p``, with the parent's path ``o`` and size ``m``."""
+
     def run(batch):
         r, p = children(_signatures(batch.column("s")), _unsigned(batch.column("p")), similarity)
-        return {"a": batch.column("a").take(pa.array(r)), "b": batch.column("b").take(pa.array(r)), "p": _signed(p)}
+        at = pa.array(r)
+        return {"a": batch.column("a").take(at), "b": batch.column("b").take(at), "p": _signed(p), "o": batch.column("p").take(at), "m": batch.column("m").take(at)}
+
+    return map_batches(rows.join(nodes.select("a", "b", "s"), ["a", "b"]).select("a", "b", "p", "m", "s"), run, "a long, b long, p long, o long, m long")
+
+
+def _worth_splitting(large: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Paths ``p`` of the large buckets of which a split moves fewer rows than their blocks do.
+
+    About ``TRIED`` sets of each bucket, picked by hash, are split on trial. The verdict
+    decides on work alone: a bucket that isn't split is compared whole.
+    """
+
+    def blocks(size):
+        return F.when(size <= SMALL, 1).otherwise(F.ceil(size / BLOCK))
 
-    return map_batches(rows.join(nodes.select("a", "b", "s"), ["a", "b"]).select("a", "b", "p", "s"), run, "a long, b long, p long")
+    one_in = F.ceil(F.col("m") / TRIED)
+    tried = _next_paths(large.where(F.pmod(F.xxhash64("a", "b", "p"), one_in) == 0), nodes, similarity)
+    sizes = tried.groupBy("o", "m", "p").agg(F.count("*").alias("n"))
+    moved = F.sum(F.col("n") * one_in * (2 + blocks((F.col("n") - 1) * one_in)))  # made and counted, then dealt to blocks
+    return sizes.groupBy("o", "m").agg(moved.alias("moved")).where(F.col("moved") < F.col("m") * blocks(F.col("m"))).select(F.col("o").alias("p"))
 
 
 def buckets(nodes: DataFrame, runs: int, similarity: float) -> DataFrame:
@@ -176,13 +199,13 @@ def buckets(nodes: DataFrame, runs: int, similarity: float) -> DataFrame:
         rows = cut(rows)  # counted, then joined to the counts
         sizes = cut(rows.groupBy("p").agg(F.count("*").alias("m")).where("m > 1"))  # a plain join side, so a hot bucket can be split
         sized = cut(rows.join(sizes, "p").select("a", "b", "p", "m"))
-        final = sized if level == DEPTH else sized.where(F.col("m") <= SMALL)
+        large = sized.where(F.col("m") > SMALL)
+        if level == DEPTH or large.isEmpty():
+            return sized if done is None else done.unionByName(sized)
+        split = cut(_worth_splitting(large, nodes, similarity))
+        final = sized.join(split, "p", "left_anti").select("a", "b", "p", "m")
         done = final if done is None else done.unionByName(final)
-        if level < DEPTH:
-            large = sized.where(F.col("m") > SMALL)
-            if large.isEmpty():
-                break
-            rows = _next_paths(large, nodes, similarity)
+        rows = _next_paths(large.join(split, "p", "left_semi"), nodes, similarity).select("a", "b", "p")
     return done
 
 

@@ -3,6 +3,7 @@ import json
 import random
 import re
 import time
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
@@ -96,6 +97,32 @@ def test_jaccard_join_edges(texts, empty):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "4", "5", "6", "7", "8", "9", "None"]
 
 
+def test_buckets_are_split_where_it_moves_fewer_rows(spark, monkeypatch):
+    monkeypatch.setattr(jj, "SMALL", 16)
+    monkeypatch.setattr(jj, "BLOCK", 4)
+    alike, unlike = [f"t{i}" for i in range(200)], [f"c{i}" for i in range(40)]
+    rows = [(i, " ".join(w if j != i else f"n{i}" for j, w in enumerate(alike))) for i in range(150)]
+    rows += [(i, " ".join(unlike + [f"u{i}x{j}" for j in range(80)])) for i in range(150, 400)]
+    nodes = jj.sketch(spark.createDataFrame(rows, "k long, t string"), "k", "t", 5).cache()
+    first = jj._first_paths(nodes, 20, 0.8)
+    large = first.join(first.groupBy("p").agg(F.count("*").alias("m")).where("m > 16"), "p").select("a", "b", "p", "m").cache()
+    members = defaultdict(list)
+    for p, s in large.join(nodes.select("a", "b", "s"), ["a", "b"]).select("p", "s").collect():
+        members[p].append(np.frombuffer(s, dtype=np.uint32))
+
+    def pays(p, signatures):
+        def blocks(n):
+            return 1 if n <= 16 else -(-n // 4)
+
+        path = np.full(len(signatures), p, dtype=np.int64).view(np.uint64)
+        made = Counter(jj.children(np.array(signatures), path, 0.8)[1].tolist())
+        return 0 < sum(n * (2 + blocks(n - 1)) for n in made.values()) < len(signatures) * blocks(len(signatures))
+
+    want = {p for p, s in members.items() if pays(p, s)}
+    assert {r[0] for r in jj._worth_splitting(large, nodes, 0.8).collect()} == want
+    assert 0 < len(want) < len(members)
+
+
 def test_runs_follow_the_recall():
     for recall, depth in ((0.9, 1), (0.9999, 3), (0.99999, 3)):
         n = jj.runs_for(recall, depth)
@@ -104,8 +131,12 @@ def test_runs_follow_the_recall():
         jj.runs_for(1 - 1e-12)
 
 
-def test_join_finds_pairs_near_the_threshold(spark, monkeypatch):
-    monkeypatch.setattr(jj, "SMALL", 32)  # buckets are split to the greatest depth
+@pytest.mark.parametrize("always", [True, False])
+def test_join_finds_pairs_near_the_threshold(spark, monkeypatch, always):
+    monkeypatch.setattr(jj, "SMALL", 32)
+    monkeypatch.setattr(jj, "BLOCK", 8)
+    if always:  # buckets are split to the greatest depth, whether it pays or not
+        monkeypatch.setattr(jj, "_worth_splitting", lambda large, nodes, similarity: large.select("p").distinct())
     r = random.Random(8)
     base = [f"t{i}" for i in range(120)]
     rows = []
