@@ -29,7 +29,7 @@ from cellweave.session import cut, ship
 COORDINATES, SMALL, BLOCK, DEPTH, RECALL = 64, 1024, 256, 3, 0.99999
 #: Representatives whose texts are fetched by a broadcast of their keys (8 bytes each); more are joined by shuffle.
 BROADCAST_KEYS = 2_000_000
-#: Sets of a large bucket by whose children it is judged whether a split pays; links don't depend on the verdict.
+#: Sets of a large bucket by whose children it is judged whether a split pays; a bucket left whole loses no pair, a split one only by the chance that ``runs_for`` counts.
 TRIED = 512
 
 _U = np.uint64
@@ -179,7 +179,7 @@ def _worth_splitting(large: DataFrame, nodes: DataFrame, similarity: float) -> D
     """Paths ``p`` of the large buckets of which a split moves fewer rows than their blocks do.
 
     About ``TRIED`` sets of each bucket, picked by hash, are split on trial. The verdict
-    decides on work alone: a bucket that isn't split is compared whole.
+    weighs work alone; a bucket that isn't split is compared whole, so recall is no lower than if all were split.
     """
 
     def blocks(size):
