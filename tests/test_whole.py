@@ -3,6 +3,9 @@
 import heapq
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
+from cellweave.operators.raster import tile_grid
 from cellweave.plans import catalog
 
 
@@ -57,3 +60,21 @@ def test_rasters_as_a_whole(spark, sf_dir, duck):
                 top[i % 3 + 1, i // 300 * 8 + pos // 8, i // 3 % 100 * 4 + pos % 8] = float(round(values[i][pos] * 100, 0))
     got = {(r["band"], r["row"], r["col"]): r["value"] for r in run("raster_mosaic_all")}
     assert got.keys() == top.keys() and all(abs(got[k] - top[k]) <= 1 for k in got) and len(got) > 4 * 64
+
+
+def test_tiles_of_a_large_raster_are_dealt_over_tasks(spark):
+    sides = {1: (100_000, 110_000), 2: (1_000_000, 95), 3: (95, 1_000_000), 4: (90, 1), 5: (91, 90), 6: (0, 50), 7: (50, -1), 8: (None, 50)}
+    one_task = spark.createDataFrame([(i, w, h) for i, (w, h) in sides.items()], "raster_id long, width long, height long").coalesce(1)
+    tiles = tile_grid(one_task, 100, 10)
+    share = [r["count"] for r in tiles.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(share) > 1 and max(share) < 0.7 * sum(share)
+    big = tiles.where("raster_id = 1").agg(F.count("*"), F.sum("row_off"), F.sum("col_off"), F.sum("tile_width"), F.sum("tile_height")).first()
+    xs, ys = range(0, 100_000, 90), range(0, 110_000, 90)
+    cut = [sum(min(100, end - o) for o in offsets) for end, offsets in ((100_000, xs), (110_000, ys))]
+    assert tuple(big) == (len(xs) * len(ys), sum(ys) * len(xs), sum(xs) * len(ys), cut[0] * len(ys), cut[1] * len(xs))
+    expect = {
+        (i, f"tile_r{y // 90}_c{x // 90}", y, x, min(100, w - x), min(100, h - y))
+        for i, (w, h) in sides.items() if i in (2, 3, 4, 5) for y in range(0, h, 90) for x in range(0, w, 90)
+    }
+    got = [tuple(r) for r in tiles.where("raster_id > 1").collect()]
+    assert len(got) == len(expect) and set(got) == expect
