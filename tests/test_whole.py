@@ -1,7 +1,7 @@
 """Queries over whole tables, against brute force and counts of the tables."""
 
 import heapq
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -78,3 +78,17 @@ def test_tiles_of_a_large_raster_are_dealt_over_tasks(spark):
     }
     got = [tuple(r) for r in tiles.where("raster_id > 1").collect()]
     assert len(got) == len(expect) and set(got) == expect
+
+
+def test_tiles_of_many_rasters_take_little_room(spark, tmp_path):
+    sides = spark.range(500).select(F.col("id").alias("raster_id"), (F.col("id") + 4000).alias("width"), (F.col("id") + 3000).alias("height"))
+    tile_grid(sides, 100, 10).coalesce(2).write.parquet(out := str(tmp_path / "tiles"))
+    rows = sum(-(-(i + 4000) // 90) * -(-(i + 3000) // 90) for i in range(500))
+    assert spark.read.parquet(out).count() == rows
+    assert sum(p.stat().st_size for p in (tmp_path / "tiles").glob("*.parquet")) < 0.6 * rows
+
+
+def test_tiles_of_repeated_and_nameless_rasters(spark):
+    sides = [("a", 200, 95)] * 3 + [(None, 95, 200)] * 2 + [(None, 200, 95), ("b", 90, 91), ("c", 1, 1), ("d", 5000, 1), ("a", 181, 90)] + [(f"e{i}", 180 + i, 400) for i in range(600)]
+    expect = Counter((i, f"tile_r{y // 90}_c{x // 90}", y, x, min(100, w - x), min(100, h - y)) for i, w, h in sides for y in range(0, h, 90) for x in range(0, w, 90))
+    assert Counter(tuple(r) for r in tile_grid(spark.createDataFrame(sides, "raster_id string, width int, height int"), 100, 10).collect()) == expect
